@@ -109,15 +109,22 @@ def raw_inventory(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_snapshot(spark: SparkSession, sf: str, n: int = 0) -> DataFrame:
+def customers_by_region(spark: SparkSession, sf: str) -> DataFrame:
+    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    regions = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    located = table(spark, sf, "customer").join(nations, "c_nationkey", "left")
+    return located.join(regions, "n_regionkey", "left").select("c_custkey", "r_name")
+
+
+def raw_snapshot(
+    spark: SparkSession, sf: str, n: int = 0, customers: DataFrame | None = None
+) -> DataFrame:
     """Full portfolio snapshot ``n``.
 
     From 1 on some customers have moved on, in 2 and 3 some portfolios have a
     new manager, and 2 leaves some customers out.
     """
     k = F.col("c_custkey")
-    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-    regions = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     base = k % 50 + 1
     portfolio = F.when((k % 37 == 0) & F.lit(n >= 1), base % 50 + 1).otherwise(base)
     p = F.col("_p")
@@ -125,13 +132,11 @@ def raw_snapshot(spark: SparkSession, sf: str, n: int = 0) -> DataFrame:
     # The tiers in portfolio order.
     tiers = F.array(*[F.lit(t) for t in ("platinum", "gold", "silver", "bronze")])
     tier = F.element_at(tiers, ((p - 1) % 4 + 1).cast("int"))
-    rows = table(spark, sf, "customer")
+    rows = customers_by_region(spark, sf) if customers is None else customers
     if n == 2:
         rows = rows.filter(k % 101 != 0)
     return (
-        rows.join(nations, "c_nationkey", "left")
-        .join(regions, "n_regionkey", "left")
-        .withColumn("_p", portfolio)
+        rows.withColumn("_p", portfolio)
         .select(
             text(k).alias("customer_id"),
             text(p).alias("portfolio_id"),
@@ -152,29 +157,53 @@ def _times(n: int) -> Column:
     return text(F.col("amount").cast("decimal(18,2)") * n)
 
 
+def _key_classes(spark: SparkSession, sf: str, first: int, last: int) -> DataFrame:
+    """Orders whose key falls into some classes of 200, with the class as ``_m``."""
+    classes = F.col("order_id").cast("bigint") % 200
+    return raw_orders(spark, sf).withColumn("_m", classes).filter(F.col("_m").between(first, last))
+
+
+def _by_class(default: Column | str, **cases: Column | str) -> Column:
+    """A value per key class: ``m3=...`` is the value of class 3."""
+    chosen = F.lit(default) if isinstance(default, str) else default
+    for name, value in cases.items():
+        value = F.lit(value) if isinstance(value, str) else value
+        chosen = F.when(F.col("_m") == int(name[1:]), value).otherwise(chosen)
+    return chosen
+
+
 def raw_batch_1(spark: SparkSession, sf: str) -> DataFrame:
-    """Change rows in key classes of 200: delete, double, and new keys."""
-    orders = raw_orders(spark, sf).withColumn("_m", F.col("order_id").cast("bigint") % 200)
+    """Changes in key classes of 200: delete (0), double (1 to 4), new keys (5)."""
     new_key = text(F.col("order_id").cast("bigint") + 1_000_000_000)
-    parts = [
-        _change(orders.filter("_m = 0"), " d", 1),
-        _change(orders.filter("_m between 1 and 4"), "u ", 2, amount=_times(2)),
-        _change(orders.filter("_m = 5"), "I", 3, order_id=new_key),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("_m")
+    return (
+        _key_classes(spark, sf, 0, 5)
+        .withColumns(
+            {
+                "order_id": _by_class(F.col("order_id"), m5=new_key),
+                "amount": _by_class(_times(2), m0=F.col("amount"), m5=F.col("amount")),
+                OP: _by_class("u ", m0=" d", m5="I"),
+                "_cdc_seq": F.lit(1),
+            }
+        )
+        .drop("_m")
+    )
 
 
 def raw_batch_2(spark: SparkSession, sf: str) -> DataFrame:
-    """Touches keys that batch 1 changed or added, and some new ones."""
-    orders = raw_orders(spark, sf).withColumn("_m", F.col("order_id").cast("bigint") % 200)
+    """Touches keys that batch 1 changed (3, 4) or added (5), and some others (6)."""
     new_key = text(F.col("order_id").cast("bigint") + 1_000_000_000)
-    parts = [
-        _change(orders.filter("_m = 3"), "D", 1),
-        _change(orders.filter("_m = 4"), "U", 2, amount=_times(3)),
-        _change(orders.filter("_m = 5"), "U", 3, order_id=new_key, amount=_times(4)),
-        _change(orders.filter("_m = 6"), "I", 4, amount=_times(5)),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).drop("_m")
+    return (
+        _key_classes(spark, sf, 3, 6)
+        .withColumns(
+            {
+                "order_id": _by_class(F.col("order_id"), m5=new_key),
+                "amount": _by_class(F.col("amount"), m4=_times(3), m5=_times(4), m6=_times(5)),
+                OP: _by_class("U", m3="D", m6="I"),
+                "_cdc_seq": F.lit(1),
+            }
+        )
+        .drop("_m")
+    )
 
 
 def raw_conflicts(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,9 +232,10 @@ def dimension(spark: SparkSession, sf: str, rounds: int) -> HistoryTable:
     """The dimension after the first ``rounds`` snapshots, each round stored."""
     lake = Lakehouse(spark, scratch_dir(spark, "dimension"))
     dim = lake.history("silver.dim_client_portfolio")
-    dim.overwrite(portfolio_versions(raw_snapshot(spark, sf, 0)))
+    customers = customers_by_region(spark, sf)
+    dim.overwrite(portfolio_versions(raw_snapshot(spark, sf, 0, customers)))
     for n in range(1, rounds + 1):
         at = SNAPSHOT_TIMES[n]
-        versions = portfolio_versions(raw_snapshot(spark, sf, n), at)
+        versions = portfolio_versions(raw_snapshot(spark, sf, n, customers), at)
         dim.advance(lambda present, v=versions, t=at: scd2_step(present, v, "customer_id", t))
     return dim
