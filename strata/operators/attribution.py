@@ -50,10 +50,10 @@ def point_in_time_join(
     condition = covers(F.col("_at"), names)
     if method == "slots":
         left, right = _slotted(left, right, slot, names)
-        joined = lookup_join(left, right, [key, "_slot"], condition, how, method="plain")
+        keys, method = [key, "_slot"], "auto"
     else:
-        method = {"range": "plain"}.get(method, method)
-        joined = lookup_join(left, right, [key], condition, how, method, spread=facts.columns)
+        keys, method = [key], {"range": "plain"}.get(method, method)
+    joined = lookup_join(left, right, keys, condition, how, method, spread=facts.columns)
     return joined.select(*facts.columns, *carry)
 
 

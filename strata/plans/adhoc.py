@@ -164,8 +164,10 @@ def recent_runs(runs: DataFrame, n: int = RECENT_JOBS) -> DataFrame:
 
 
 def by_name(table: DataFrame, name: str = "name") -> DataFrame:
-    """All rows in name order."""
-    return table.orderBy(F.col(name).asc_nulls_last())
+    """All rows in name order; rows of one name by their other columns, so that
+    a frequent name does not sort in one task."""
+    rest = [F.col(c).asc_nulls_last() for c in table.columns if c != name]
+    return table.orderBy(F.col(name).asc_nulls_last(), *rest)
 
 
 def preview(result: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

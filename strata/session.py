@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording the Python line of every column expression makes plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

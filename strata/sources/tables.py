@@ -126,28 +126,33 @@ class Table:
 
     def overwrite(self, df: DataFrame, batch: int | None = None) -> int:
         """Write ``df`` as the next version, also if it reads the present one."""
+        if self.bucket_by is not None:
+            # One task per bucket writes one file per bucket, not one per task and bucket.
+            column, n = self.bucket_by
+            df = df.repartition(n, column)
+        return self._write(df, batch)
+
+    def update(self, change: Callable[[DataFrame], DataFrame], batch: int | None = None) -> int:
+        """Write ``change(present rows)`` as the next version.
+
+        The rows are written where the change left them: those of a bucketed
+        table already sit in the task of their bucket.
+        """
+        return self._write(change(self.read()), batch)
+
+    def _write(self, df: DataFrame, batch: int | None) -> int:
         version = self._next()
+        writer = df.write.mode("overwrite")
         if self.bucket_by is None:
-            df.write.mode("overwrite").parquet(self._folder(version))
+            writer.parquet(self._folder(version))
         else:
             column, n = self.bucket_by
             holder = self._holder(version)
             self.spark.sql(f"DROP TABLE IF EXISTS {holder}")
-            # One task per bucket writes one file per bucket, not one per task and bucket.
-            (
-                df.repartition(n, column)
-                .write.mode("overwrite")
-                .bucketBy(n, column)
-                .sortBy(column)
-                .option("path", self._folder(version))
-                .saveAsTable(holder)
-            )
+            placed = writer.option("path", self._folder(version))
+            placed.bucketBy(n, column).sortBy(column).saveAsTable(holder)
         return self._publish(df, version, batch=batch)
 
-    def update(self, change: Callable[[DataFrame], DataFrame], batch: int | None = None) -> int:
-        """Write ``change(present rows)`` as the next version."""
-        return self.overwrite(change(self.read()), batch)
-
     def vacuum(self, keep: int = 1) -> list[int]:
         """Drop all but the last ``keep`` versions; returns the dropped ones."""
         if keep < 1:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata.operators.quality as q
+from strata.functions.columns import clean, differs, month_of
 from strata.operators.attribution import attribution_shift, current_join, point_in_time_join
 from strata.operators.changes import (
     check_batch,
@@ -379,11 +380,12 @@ def dense_ids(spark, sf):
 @query
 def reassigned_portfolios(spark, sf):
     """Some customers move to the portfolio at a computed index of the dense list."""
-    rows = portfolio_snapshot(b.raw_snapshot(spark, sf, 0)).select("customer_id", "portfolio_id")
-    # Customers' portfolios 1..50; odd ones only, so that the index is not the id.
-    odd = rows.filter("portfolio_id % 2 = 1")
-    picks = dense_index(odd, "portfolio_id").withColumnsRenamed({"portfolio_id": "picked"})
-    asked = rows.withColumn("idx", (F.col("customer_id") * 31 % 25 + 1).cast("bigint"))
+    # Ids with gaps, so that the index is not the id.
+    rows = portfolio_snapshot(b.raw_snapshot(spark, sf, 0)).select(
+        "customer_id", (F.col("portfolio_id") * 3).alias("portfolio_id")
+    )
+    picks = dense_index(rows, "portfolio_id").withColumnsRenamed({"portfolio_id": "picked"})
+    asked = rows.withColumn("idx", (F.col("customer_id") * 31 % 60 + 1).cast("bigint"))
     return asked.join(picks, "idx", "left").select(
         "customer_id",
         F.when(F.col("customer_id") % 33 == 0, F.col("picked"))
@@ -392,6 +394,82 @@ def reassigned_portfolios(spark, sf):
     )
 
 
+@query
+def insert_batch(spark, sf):
+    """New orders, one for every hundred there are, of products picked by index."""
+    n = table(spark, sf, "orders").count() // 100
+    inventory = conform(b.raw_inventory(spark, sf), INVENTORY)
+    picks = dense_index(inventory, "product_id")
+    costs = inventory.select("product_id", "unit_cost")
+    n_products = picks.agg(F.count("*")).scalar()
+    quantity = (F.col("id") % 9 + 1).cast("int")
+    return portable(
+        spark.range(n)
+        .withColumn("idx", F.col("id") * 7919 % n_products + 1)
+        .join(picks, "idx")
+        .join(costs, "product_id")
+        .select(
+            (F.col("id") + 5_000_001).alias("order_id"),
+            "product_id",
+            quantity.alias("quantity"),
+            F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias(
+                "order_date"
+            ),
+            F.round(quantity * F.col("unit_cost") * F.lit("1.15").cast("decimal(3,2)"), 2).alias(
+                "amount"
+            ),
+            F.element_at(
+                F.array(F.lit("Paid"), F.lit("Pending")), (F.col("id") % 2 + 1).cast("int")
+            ).alias("status"),
+            F.lit("I").alias(OP),
+        )
+    )
+
+
+@query
+def scalar_functions(spark, sf):
+    """The scalar functions of the models, each on a column of the raw orders."""
+    k, amount = F.col("order_id").cast("bigint"), F.col("amount").cast("decimal(18,2)")
+    day, status = F.col("order_date").cast("date"), F.col("status")
+    absent = F.when(k % 5 != 0, status)
+    return portable(
+        b.raw_orders(spark, sf).select(
+            k.alias("order_id"),
+            clean("status", "trim").alias("trimmed"),
+            clean("status", "lower").alias("lowered"),
+            clean("status", "upper").alias("raised"),
+            F.concat_ws("|", "order_id", absent, "amount").alias("joined_text"),
+            F.concat("order_id", F.lit("/"), absent).alias("glued_text"),
+            F.md5(F.concat_ws("|", "order_id", "amount")).alias("digest"),
+            month_of(day).alias("month"),
+            F.date_add(day, (k % 40).cast("int")).alias("later"),
+            F.round(amount * F.lit("0.333").cast("decimal(4,3)"), 2).alias("third"),
+            (amount + k - amount * 2).alias("mixed"),
+            F.pmod(-k, F.lit(7)).alias("cycle"),
+            F.round(amount).cast("bigint").alias("whole"),
+            F.coalesce(absent, F.lit("none")).alias("given"),
+            F.when(amount > 100_000, "large").when(amount > 1_000, "middle").otherwise("small").alias(
+                "size"
+            ),
+            ((k % 3).isin(0, 1) & ~status.isNull() | (amount <= 500)).alias("picked"),
+            differs(status, absent).alias("lost"),
+            F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (k % 3 + 1).cast("int")).alias(
+                "letter"
+            ),
+        )
+    )
+
+
+@query
+def table_peek(spark, sf):
+    """Ten rows of a registered table, by an ad-hoc query."""
+    orders = Lakehouse(spark, scratch_dir(spark, "peek")).table("silver.stg_orders")
+    orders.overwrite(_orders(spark, sf))
+    session = adhoc.read_only_session(spark, [orders])
+    sql = "select order_id, customer_id, status from stg_orders order by order_id limit 10"
+    return adhoc.query(session, sql)
+
+
 @query
 def parent_change(spark, sf):
     """Some portfolios get a new manager and region; all their customers follow."""
