@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import draw, tuple_differs
@@ -19,20 +19,28 @@ def reduce_changes(
     order_by: Sequence[str] = (),
     op: str = OP,
     on_duplicate: str = "last",
+    sequence: str | None = None,
 ) -> DataFrame:
-    """One row per key: ``_gone`` (a delete is present) and ``_row`` (the last
-    non-delete row, null when there are only deletes).
+    """One row per key with what the batch does to it.
+
+    ``_gone``   a delete is present, so whatever follows starts a fresh row
+    ``_row``    the row to leave behind, null when the key ends deleted
+    ``_first``  the first row of that fresh start, for columns that updates keep
 
     Rows with a null operation take no part.  The aggregation combines on the
     map side, so a key repeated over a large part of the batch costs one row
-    per map task in the shuffle.
+    per map task in the shuffle.  With ``sequence`` the batch is a series of
+    batches to be applied in the order of that column (see ``_in_sequence``).
     """
+    if on_duplicate not in ("last", "error"):
+        raise ValueError("on_duplicate is 'last' or 'error'")
     is_delete = F.col(op) == "D"
     row = F.struct(*columns)
     order = F.struct(*order_by, row.alias("_row")) if order_by else row
+    group = [key] if sequence is None else [key, sequence]
     reduced = (
         changes.filter(F.col(op).isNotNull() & F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(*group)
         .agg(
             F.bool_or(is_delete).alias("_gone"),
             F.max_by(F.when(~is_delete, row), F.when(~is_delete, order)).alias("_row"),
@@ -40,19 +48,39 @@ def reduce_changes(
         )
     )
     if on_duplicate == "error":
+        repeated = F.concat(F.lit(f"several rows to apply for {key} "), F.col(key).cast("string"))
         reduced = reduced.filter(
-            F.when(
-                F.col("_upserts") > 1,
-                F.raise_error(
-                    F.concat(
-                        F.lit(f"several rows to apply for {key} "), F.col(key).cast("string")
-                    )
-                ).cast("boolean"),
-            ).otherwise(F.lit(True))
+            F.when(F.col("_upserts") > 1, F.raise_error(repeated).cast("boolean")).otherwise(
+                F.lit(True)
+            )
         )
-    elif on_duplicate != "last":
-        raise ValueError("on_duplicate is 'last' or 'error'")
-    return reduced.drop("_upserts")
+    reduced = reduced.drop("_upserts")
+    if sequence is None:
+        return reduced.withColumn("_first", F.col("_row"))
+    return _in_sequence(reduced, key, sequence)
+
+
+def _in_sequence(steps: DataFrame, key: str, sequence: str) -> DataFrame:
+    """Fold the steps of each key into one, as if applied one after the other.
+
+    The last step decides what is left.  A delete in some step makes all later
+    rows a fresh start.  A key has at most one row per step here, so the window
+    is bounded by the number of steps in the batch.
+    """
+    whole = Window.partitionBy(key)
+    last_delete = F.max(F.when(F.col("_gone"), F.col(sequence))).over(whole)
+    since = F.col("_row").isNotNull() & (
+        F.col("_cut").isNull() | (F.col(sequence) >= F.col("_cut"))
+    )
+    return (
+        steps.withColumn("_cut", last_delete)
+        .groupBy(key)
+        .agg(
+            F.bool_or("_gone").alias("_gone"),
+            F.max_by("_row", sequence).alias("_row"),
+            F.min_by("_row", F.when(since, F.col(sequence))).alias("_first"),
+        )
+    )
 
 
 def merge_changes(
@@ -64,6 +92,7 @@ def merge_changes(
     op: str = OP,
     on_duplicate: str = "last",
     strategy: str = "auto",
+    sequence: str | None = None,
 ) -> DataFrame:
     """``target`` after a change batch.
 
@@ -71,6 +100,9 @@ def merge_changes(
     update writes all columns, nulls included, except ``preserve``.  A key with
     both a delete and another operation comes back as a fresh row.
 
+    ``sequence`` names a column that orders several batches given at once: the
+    result is that of applying them one after the other, in one pass.
+
     ``lookup`` streams the target past the batch and scans only the key column
     a second time: no shuffle of the target while the batch passes Spark's
     broadcast size check.  ``outer`` is one full outer join, for large batches
@@ -81,7 +113,7 @@ def merge_changes(
     missing = [c for c in columns if c not in changes.columns]
     if missing:
         raise ValueError(f"change batch lacks columns {missing}")
-    delta = reduce_changes(changes, key, columns, order_by, op, on_duplicate)
+    delta = reduce_changes(changes, key, columns, order_by, op, on_duplicate, sequence)
     if strategy == "auto":
         strategy = "lookup" if fits_broadcast(changes) else "outer"
     if strategy == "outer":
@@ -95,9 +127,7 @@ def merge_changes(
     upserts = delta.filter(F.col("_row").isNotNull())
     # The matched keys are no more than the batch's; the target is only probed.
     matched = target.select(key).join(upserts.select(key), key, "left_semi")
-    inserts = upserts.join(matched, key, "left_anti").select(
-        *[F.col("_row")[c].alias(c) for c in columns]
-    )
+    inserts = upserts.join(matched, key, "left_anti").select(*_fresh(columns, preserve))
     return kept.unionByName(inserts)
 
 
@@ -113,12 +143,17 @@ def _merged(columns: Sequence[str], key: str, preserve: Sequence[str]) -> list[C
     for c in columns:
         if c == key:
             out.append(F.col(c))
+        elif c in preserve:
+            out.append(F.when(fresh, F.col("_first")[c]).otherwise(F.col(c)).alias(c))
         else:
-            takes_row = fresh if c in preserve else has_row
-            out.append(F.when(takes_row, F.col("_row")[c]).otherwise(F.col(c)).alias(c))
+            out.append(F.when(has_row, F.col("_row")[c]).otherwise(F.col(c)).alias(c))
     return out
 
 
+def _fresh(columns: Sequence[str], preserve: Sequence[str]) -> list[Column]:
+    return [F.col("_first" if c in preserve else "_row")[c].alias(c) for c in columns]
+
+
 def op_counts(changes: DataFrame, op: str = OP) -> DataFrame:
     """Rows per operation code."""
     return changes.groupBy(op).agg(F.count("*").alias("n_rows"))

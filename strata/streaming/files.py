@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators.changes import merge_changes
 from strata.operators.conform import conform
 from strata.operators.history import scd2_step
-from strata.schema import OP, SOURCE_FILE, Entity
+from strata.schema import SOURCE_FILE, Entity
 from strata.sources.files import stream_csv
 from strata.sources.tables import HistoryTable, Table
 
@@ -49,30 +49,48 @@ def apply_change_files(
     table: Table,
     checkpoint: str,
     preserve: Sequence[str] = (),
-    max_files: int = 1,
+    max_files: int = 100,
     archive: str | None = None,
     clock: Callable[[], datetime] | None = _utc_now,
     extra: Sequence[str] = (),
 ) -> StreamingQuery:
     """Merge the change files of a folder into a table that has a baseline.
 
-    One file per batch keeps the order of arrival exact.  With more files per
-    batch a key's last row by file name and ``extra`` sequence columns wins,
-    and deletes still go before all other operations of that batch.
+    The files of one batch count in the order of their names, each as a batch
+    of its own, but the table is rewritten once for all of them.  Inside a file
+    a key's last row by the ``extra`` columns wins.
     """
-    from pyspark.sql import types as T
-
     schema = entity.raw_schema(changes=True)
     for c in extra:
-        schema = schema.add(T.StructField(c, T.StringType()))
+        schema = schema.add(c, "string")
     rows = stream_csv(spark, folder, schema, max_files, archive)
+    return merge_stream(
+        rows, entity, table, checkpoint, preserve, clock, order_by=extra, sequence=SOURCE_FILE
+    )
+
+
+def merge_stream(
+    rows: DataFrame,
+    entity: Entity,
+    table: Table,
+    checkpoint: str,
+    preserve: Sequence[str] = (),
+    clock: Callable[[], datetime] | None = _utc_now,
+    order_by: Sequence[str] = (),
+    sequence: str | None = None,
+) -> StreamingQuery:
+    """Merge any stream of raw change rows into a table that has a baseline.
+
+    ``sequence`` orders the batches that one micro-batch may hold, ``order_by``
+    the rows of a key inside each.
+    """
+    keep = [*order_by, *([sequence] if sequence else [])]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if _seen(table, batch_id):
             return
-        stamp = clock() if clock else None
-        changes = conform(batch, entity, stamp, changes=True, keep=[SOURCE_FILE, *extra])
-        # The merge reads the batch more than once.
+        changes = conform(batch, entity, clock() if clock else None, changes=True, keep=keep)
+        # The merge may read the batch more than once.
         changes.persist()
         try:
             table.update(
@@ -81,7 +99,8 @@ def apply_change_files(
                     changes,
                     entity.key,
                     preserve=preserve,
-                    order_by=[SOURCE_FILE, *[c for c in extra if c != OP]],
+                    order_by=list(order_by),
+                    sequence=sequence,
                 ),
                 batch=batch_id,
             )

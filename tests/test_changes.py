@@ -131,14 +131,12 @@ def test_split_has_no_overlap_and_repeats(spark):
     assert 150 < found["D"] < 350 and 800 < found["U"] < 1200
 
 
-OPS = st.lists(
-    st.tuples(
-        st.integers(0, 8),
-        st.sampled_from(["a", "b", None]),
-        st.sampled_from(["I", "U", "D", "X", None]),
-    ),
-    max_size=12,
+OPS_FIELDS = (
+    st.integers(0, 8),
+    st.sampled_from(["a", "b", None]),
+    st.sampled_from(["I", "U", "D", "X", None]),
 )
+OPS = st.lists(st.tuples(*OPS_FIELDS), max_size=12)
 FEW = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
@@ -159,6 +157,22 @@ def test_merge_against_a_plain_replay(spark, before, ops):
     assert merged(t, b) == sorted(want.values(), key=repr)
 
 
+SERIES = st.lists(st.tuples(st.integers(0, 3), *OPS_FIELDS), max_size=14)
+
+
+@FEW
+@given(st.dictionaries(st.integers(0, 4), st.just("p"), max_size=4), SERIES)
+def test_batches_in_sequence_equal_one_after_the_other(spark, before, ops):
+    t = target(spark, *[(k, v, "old") for k, v in before.items()])
+    data = [(k, v, f"n{step}", op, i, step) for i, (step, k, v, op) in enumerate(ops)]
+    every = spark.createDataFrame(data, BATCH + ", step int")
+    want = rows(t)
+    for step in range(4):
+        now = spark.createDataFrame(want, TARGET)
+        want = merged(now, every.filter(f"step = {step}").drop("step"))
+    assert merged(t, every, sequence="step") == want
+
+
 SNAPSHOT = st.dictionaries(st.integers(0, 9), st.sampled_from(["a", "b", None]), max_size=9)
 
 

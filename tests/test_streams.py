@@ -68,10 +68,18 @@ def test_replayed_batch_is_skipped(spark, tmp_path, clients):
 
 
 def test_same_key_in_two_files_of_one_batch(spark, tmp_path, clients):
-    write_file(tmp_path / "cdc", "b.csv", HEADER, line(1, "late", "U"))
-    write_file(tmp_path / "cdc", "a.csv", HEADER, line(1, "early", "U"))
-    take_in(spark, tmp_path, clients, max_files=10)
-    assert clients.versions() == [0, 1] and names(clients)[1] == "late"
+    write_file(tmp_path / "cdc", "b.csv", HEADER, line(1, "late", "U"), line(2, "", "D"))
+    write_file(tmp_path / "cdc", "a.csv", HEADER, line(1, "early", "U"), line(2, "gone soon", "U"))
+    take_in(spark, tmp_path, clients)
+    assert clients.versions() == [0, 1]
+    assert names(clients) == {0: "n0", 1: "late", 3: "n3"}
+
+
+def test_one_file_per_batch(spark, tmp_path, clients):
+    for n in range(3):
+        write_file(tmp_path / "cdc", f"{n}.csv", HEADER, line(n, f"v{n}", "U"))
+    take_in(spark, tmp_path, clients, max_files=1)
+    assert clients.versions() == [0, 1, 2, 3]
 
 
 def test_stream_equals_batch(spark, tmp_path, clients):

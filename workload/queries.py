@@ -50,7 +50,7 @@ from strata.sources.files import (
     write_parquet,
 )
 from strata.sources.tables import Lakehouse
-from strata.streaming.files import apply_change_files, apply_snapshot_files
+from strata.streaming.files import apply_change_files, apply_snapshot_files, merge_stream
 from workload import bindings as b
 from workload.bindings import portable, table
 
@@ -808,7 +808,7 @@ def catalog_names(spark, sf):
 
 @query
 def stream_change_files(spark, sf):
-    """Two change files taken in by a file stream, then run again with nothing new."""
+    """Two change files taken in by a file stream, each run again with nothing new."""
     folder = scratch_dir(spark, "stream")
     orders = Lakehouse(spark, f"{folder}/lake").table("silver.stg_orders")
     orders.overwrite(_staged_orders(spark, sf))
@@ -831,6 +831,31 @@ def stream_change_files(spark, sf):
     return portable(orders.read())
 
 
+@query
+def stream_backlog(spark, sf):
+    """Both change files waiting: taken in one after the other, the table written once."""
+    folder = scratch_dir(spark, "stream")
+    orders = Lakehouse(spark, f"{folder}/lake").table("silver.stg_orders")
+    orders.overwrite(_staged_orders(spark, sf))
+    for name, raw in (("1", b.raw_batch_1), ("2", b.raw_batch_2)):
+        rows = raw(spark, sf).select(*ORDERS.columns, OP, F.lit(name).alias("_cdc_seq"))
+        write_csv(rows.coalesce(1), f"{folder}/cdc/{name}")
+    changes = spark.readStream.schema(
+        ORDERS.raw_schema(changes=True).add("_cdc_seq", "string")
+    )
+    stream = merge_stream(
+        changes.option("header", "true").csv(f"{folder}/cdc/*"),
+        ORDERS,
+        orders,
+        f"{folder}/checkpoint",
+        preserve=["ingestion_time"],
+        clock=lambda: b.BATCH_2,
+        sequence="_cdc_seq",
+    )
+    stream.awaitTermination()
+    return portable(orders.read())
+
+
 @query
 def stream_snapshot_files(spark, sf):
     """Four snapshots taken in by a file stream, one dimension round per file."""
