@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -22,8 +23,11 @@ class Files:
     """The few file-system calls the layout needs, on whatever store the path names."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
-        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        conf = spark._jsc.hadoopConfiguration()
+        self._gateway, self._jvm = spark.sparkContext._gateway, spark._jvm
+        self._fs = self._path(root).getFileSystem(conf)
+        store = self._fs.makeQualified(self._path(root)).toUri()
+        self._context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(store, conf)
 
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
@@ -41,12 +45,22 @@ class Files:
             stream.close()
 
     def create_text(self, path: str, text: str) -> None:
-        """Create a file, failing if it is already there."""
-        stream = self._fs.create(self._path(path), False)
+        """Create a file that appears whole, failing if it is already there."""
+        folder, name = path.rsplit("/", 1)
+        draft = self._path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
+        try:
+            self._context.rename(draft, self._path(path), self._no_overwrite())
+        except Exception:
+            self._fs.delete(draft, False)
+            raise
+
+    def _no_overwrite(self):
+        return self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
 
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

@@ -409,7 +409,7 @@ def insert_batch(spark, sf):
         .join(picks, "idx")
         .join(costs, "product_id")
         .select(
-            (F.col("id") + 5_000_001).alias("order_id"),
+            (F.col("id") + 7_000_000_000).alias("order_id"),
             "product_id",
             quantity.alias("quantity"),
             F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias(
@@ -419,7 +419,7 @@ def insert_batch(spark, sf):
                 "amount"
             ),
             F.element_at(
-                F.array(F.lit("Paid"), F.lit("Pending")), (F.col("id") % 2 + 1).cast("int")
+                F.array(F.lit("paid"), F.lit("pending")), (F.col("id") % 2 + 1).cast("int")
             ).alias("status"),
             F.lit("I").alias(OP),
         )
@@ -477,15 +477,13 @@ def parent_change(spark, sf):
     attributes = ("portfolio_name", "manager_id", "manager_name", "region", "tier")
     parents = parent_catalog(rows, "portfolio_id", attributes, "customer_id")
     moves = F.col("portfolio_id") % 7 == 0
-    manager = (F.col("manager_id") + 7) % 50 + 1
-    # The regions a portfolio can move to.
-    regions = F.array(*[F.lit(r) for r in ("BR", "US", "PT", "AR", "MX")])
-    region = F.element_at(regions, (F.col("portfolio_id") % 5 + 1).cast("int"))
+    manager = F.col("manager_id") + 300
+    region = F.concat(F.lit("AREA "), (F.col("portfolio_id") % 3).cast("string"))
     changed = parents.withColumns(
         {
             "manager_id": F.when(moves, manager).otherwise(F.col("manager_id")),
             "manager_name": F.when(
-                moves, F.concat(F.lit("Manager "), manager.cast("string"))
+                moves, F.concat(F.lit("Successor "), manager.cast("string"))
             ).otherwise(F.col("manager_name")),
             "region": F.when(moves, region).otherwise(F.col("region")),
         }
