@@ -69,6 +69,12 @@ def month_of(c: str | Column) -> Column:
     return F.trunc(_col(c), "MM")
 
 
+def slot_of(c: str | Column, slot: str) -> Column:
+    """First day of the calendar slot (year, quarter, month, week or day), in no time zone."""
+    day = _col(c).cast("date")
+    return day if slot == "day" else F.trunc(day, slot)
+
+
 def differs(a: str | Column, b: str | Column) -> Column:
     """Null-safe inequality."""
     return ~_col(a).eqNullSafe(_col(b))

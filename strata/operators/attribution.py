@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import tuple_differs
+from strata.functions.columns import slot_of, tuple_differs
 from strata.operators.history import DEFAULT, ControlColumns, covers, scd2_current
 from strata.operators.skew import lookup_join
 
-_STEP = {"year": "interval 1 year", "month": "interval 1 month", "day": "interval 1 day"}
+_STEP = {s: f"interval 1 {s}" for s in ("year", "month", "week", "day")}
 
 
 def point_in_time_join(
@@ -65,21 +65,17 @@ def _slotted(
     The repetition is clipped to the span of the facts, so an open end or a
     start in 1900 costs no slots outside the data.
     """
-    span = facts.agg(F.min("_at").alias("lo"), F.max("_at").alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-
-    def floor(c):
-        return F.date_trunc(slot, c).cast("date")
-
+    span = facts.agg(F.struct(F.min("_at").alias("lo"), F.max("_at").alias("hi"))).scalar()
+    lo, hi = span["lo"], span["hi"]
     alive = versions.filter(
         (F.col(names.valid_from) <= hi)
         & (F.col(names.valid_to).isNull() | (F.col(names.valid_to) > lo))
     )
-    first = floor(F.greatest(F.col(names.valid_from), lo))
-    last = floor(F.least(F.coalesce(F.col(names.valid_to), hi), hi))
+    first = slot_of(F.greatest(F.col(names.valid_from), lo), slot)
+    last = slot_of(F.least(F.coalesce(F.col(names.valid_to), hi), hi), slot)
     slots = F.sequence(first, last, F.expr(_STEP[slot]))
     return (
-        facts.withColumn("_slot", floor(F.col("_at"))),
+        facts.withColumn("_slot", slot_of("_at", slot)),
         alive.withColumn("_slot", F.explode(slots)),
     )
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.columns import slot_of
 from strata.operators.changes import check_batch
 from strata.operators.history import DEFAULT, ControlColumns, changed_keys
 from strata.schema import OP
@@ -91,7 +92,7 @@ def overlap_failures(
     task holds a whole key however many versions it has.
     """
     start, end = names.valid_from, names.valid_to
-    rows = dimension.select(key, start, end).withColumn("_slot", F.date_trunc(slot, F.col(start)))
+    rows = dimension.select(key, start, end).withColumn("_slot", slot_of(start, slot))
     inside = Window.partitionBy(key, "_slot").orderBy(start, F.col(end).asc_nulls_last())
     across = Window.partitionBy(key).orderBy("_slot")
     firsts = rows.groupBy(key, "_slot").agg(F.min(start).alias("_first"))

@@ -174,11 +174,12 @@ def facts(spark, *data):
     return spark.createDataFrame(list(data), "id int, k long, at timestamp_ntz")
 
 
-def joined(f, dim, how="inner"):
-    got = {
-        m: rows(point_in_time_join(f, dim, "k", "at", ["a", "valid_from"], how, m)) for m in METHODS
-    }
+def joined(f, dim, how="inner", slots=("month",)):
+    carry = ["a", "valid_from"]
+    got = {m: rows(point_in_time_join(f, dim, "k", "at", carry, how, m)) for m in METHODS}
     assert got["range"] == got["salted"] == got["slots"]
+    for slot in slots:
+        assert rows(point_in_time_join(f, dim, "k", "at", carry, how, "slots", slot)) == got["range"]
     return got["range"]
 
 
@@ -193,7 +194,8 @@ def test_fact_on_the_instant_of_a_change_is_new(spark):
         (5, 1, None),
         (6, None, datetime(2020, 1, 1)),
     )
-    assert [(r[0], r[3]) for r in joined(f, dim)] == [(1, "x"), (2, "y")]
+    every = ("year", "month", "week", "day")
+    assert [(r[0], r[3]) for r in joined(f, dim, slots=every)] == [(1, "x"), (2, "y")]
     left = joined(f, dim, "left")
     assert [(r[0], r[3]) for r in left] == [
         (1, "x"),
