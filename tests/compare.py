@@ -27,7 +27,7 @@ def _rows(table: pa.Table) -> tuple[list, list, list]:
 def problems(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs, or None."""
     got_names, got_types, got = _rows(result.toArrow())
-    names, types, want = _rows(con.execute(sql).to_arrow_table())
+    names, types, want = _rows(con.sql(sql).to_arrow_table())
     if got_names != names:
         return f"columns {got_names} != {names}"
     if got_types != types:
