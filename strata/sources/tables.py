@@ -171,13 +171,14 @@ class Table:
         """Drop all but the last ``keep`` versions; returns the dropped ones."""
         if keep < 1:
             raise ValueError("keep at least one version")
-        dropped = self.versions()[:-keep]
+        versions = self.versions()
+        dropped, kept = versions[:-keep], versions[-keep:]
         for version in dropped:
             self._files.delete(f"{self.path}/commits/{version}.json")
-            self._forget(version)
+            self._forget(version, kept[0])
         return dropped
 
-    def _forget(self, version: int) -> None:
+    def _forget(self, version: int, oldest_kept: int) -> None:
         if self.bucket_by is not None:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._holder(version)}")
         self._files.delete(self._folder(version))
@@ -247,8 +248,9 @@ class HistoryTable(Table):
         self._write_round(rows, version)
         return self._publish(rows, version, since=since, batch=batch)
 
-    def _forget(self, version: int) -> None:
-        if version < self.commit()["since"]:
+    def _forget(self, version: int, oldest_kept: int) -> None:
+        # The closed versions of a round stay while a kept version counts from it or before.
+        if version < self.commit(oldest_kept)["since"]:
             self._files.delete(self._folder(version))
         else:
             self._files.delete(f"{self._folder(version)}/is_current=true")

@@ -110,6 +110,23 @@ def test_history_full_write_starts_over(spark, lake):
     dim.advance(lambda o: scd2_step(o, versions(spark, [], t1), "id", t1))
     dim.overwrite(versions(spark, [(5, "x")]))
     assert rows(dim.read().select("id", "is_current")) == [(5, True)]
+    assert dim.vacuum(keep=2) == [0]  # version 1 still needs what round 0 and 1 closed
+    assert rows(dim.read(1).select("id", "is_current")) == [(1, False)]
+    assert dim.vacuum(keep=1) == [1]
+    # Round 0 was only thinned out before; the full write made all of round 1 obsolete.
+    assert "v=1" not in Files(spark, dim.path).names(f"{dim.path}/data")
+    assert rows(dim.read().select("id", "is_current")) == [(5, True)]
+
+
+def test_compaction_is_a_full_write_of_itself(spark, lake):
+    dim = lake.history("silver.dim")
+    dim.overwrite(versions(spark, [(1, "x"), (2, "x")]))
+    t1 = "2020-01-01 00:00:00"
+    dim.advance(lambda o: scd2_step(o, versions(spark, [(1, "y")], t1), "id", t1))
+    before = rows(dim.read())
+    dim.overwrite(dim.read())
+    dim.vacuum()
+    assert rows(dim.read()) == before
 
 
 def test_bucketed_table_is_merged_without_a_shuffle(spark, lake, conf):
