@@ -102,6 +102,25 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == plan.count("partial_max_by")
 
 
+def test_one_key_with_a_third_of_the_batch(spark):
+    seq = F.col("id").cast("int")
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long")
+    b = spark.range(30_000).select(
+        key.alias("k"),
+        F.col("id").cast("string").alias("v"),
+        F.lit("new").alias("loaded"),
+        F.lit("U").alias("_cdc_op"),
+        seq.alias("seq"),
+    )
+    t = target(spark, (7, "a", "old"))
+    for strategy in ("lookup", "outer"):
+        out = merge_changes(t, b, "k", ["loaded"], ["seq"], strategy=strategy)
+        plan = plan_of(out)
+        assert plan.index("Exchange hashpartitioning") < plan.index("partial_max_by")
+        assert out.count() == 20_000  # keys 1, 2, 4, 5, ... with 7 among them
+        assert rows(out.filter("k = 7")) == [(7, "29997", "old")]
+
+
 def test_large_batch_takes_the_outer_join(spark, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     t = target(spark, (1, "a", "old"))
