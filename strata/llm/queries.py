@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.tokenfiles import token_digests, write_token_files
 from strata.llm.tokens import count_tokens
+from strata.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,14 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's ids through the binary files: where they start, how many, their checksum."""
+    path = scratch_dir(spark, "token-files")
+    write_token_files(table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_digests(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
+    "op9_token_files": op9_token_files,
 }
