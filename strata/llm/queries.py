@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
 from strata.llm.tokens import count_tokens
 from strata.session import scratch_dir
@@ -30,7 +31,14 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the runs of 20 words or more that start earlier in the corpus."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_substring_dedup": op10_substring_dedup,
 }
