@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.neardup import near_duplicates
 from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
 from strata.llm.tokens import count_tokens
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents that share 85 % of their shingles of three words."""
+    return near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document, and whether they pass 2,048."""
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -38,6 +44,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op4_token_counts": op4_token_counts,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
