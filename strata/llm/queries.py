@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.classify import classify, train
 from strata.llm.neardup import near_duplicates
 from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
@@ -25,11 +26,23 @@ def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """How toxic every document is; labels of one fold in four are not learned."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    return classify(docs, train(docs, labels, "toxic", folds=4, fold=2), folds=4, fold=2)
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document, and whether they pass 2,048."""
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """How good every document is; labels of one fold in five are not learned."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    return classify(docs, train(docs, labels, "quality", folds=5, fold=0), folds=5, fold=0)
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's ids through the binary files: where they start, how many, their checksum."""
     path = scratch_dir(spark, "token-files")
@@ -45,7 +58,9 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
+    "op6_quality": op6_quality,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
 }
