@@ -1,3 +1,43 @@
 """DuckDB SQL for those queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS pos, w FROM d
+), o AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY array_to_string(w[pos : pos + 19], ' ') ORDER BY doc_id, pos) AS n FROM p
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM o WHERE n > 1
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
+), marked AS (
+  SELECT words.doc_id, word, words.pos, gone.pos IS NOT NULL AS removed
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.pos = gone.pos
+), totals AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (removed) AS n_removed,
+    string_agg(word, ' ' ORDER BY pos) FILTER (NOT removed) AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN totals USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op8_top_k": OP8, "op10_substring_dedup": OP10}

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.classify import classify, train
 from strata.llm.neardup import near_duplicates
 from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
 from strata.llm.tokens import count_tokens
+from strata.llm.topk import top_k
 from strata.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +45,11 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return classify(docs, train(docs, labels, "quality", folds=5, fold=0), folds=5, fold=0)
 
 
+def op8_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's ids through the binary files: where they start, how many, their checksum."""
     path = scratch_dir(spark, "token-files")
@@ -61,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
     "op6_quality": op6_quality,
+    "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
 }
