@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.classify import classify, train
+from strata.llm.leaks import find_leaks
 from strata.llm.neardup import near_duplicates
 from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
@@ -45,6 +46,11 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return classify(docs, train(docs, labels, "quality", folds=5, fold=0), folds=5, fold=0)
 
 
+def op7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages of the benchmark in documents, up to 15 % of their words edited."""
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op8_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """The five highest inner products of every fiftieth vector with all others."""
     return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
     "op6_quality": op6_quality,
+    "op7_leaks": op7_leaks,
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
