@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.llm.classify import classify, train
 from strata.llm.leaks import find_leaks
 from strata.llm.neardup import near_duplicates
+from strata.llm.pieces import piece_digests
 from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
 from strata.llm.tokens import count_tokens
@@ -40,6 +41,11 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in pieces: how many, their checksum, and whether decoding gives the text again."""
+    return piece_digests(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     """How good every document is; labels of one fold in five are not learned."""
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
@@ -73,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
+    "op5_pieces": op5_pieces,
     "op6_quality": op6_quality,
     "op7_leaks": op7_leaks,
     "op8_top_k": op8_top_k,
