@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.classify import classify, train
+from strata.llm.html import extract_text
 from strata.llm.leaks import find_leaks
 from strata.llm.neardup import near_duplicates
 from strata.llm.pieces import piece_digests
@@ -36,6 +37,11 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return classify(docs, train(docs, labels, "toxic", folds=4, fold=2), folds=4, fold=2)
 
 
+def op3_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The visible text of every page."""
+    return extract_text(table(spark, sf, "pages"))
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document, and whether they pass 2,048."""
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -78,6 +84,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
+    "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
     "op5_pieces": op5_pieces,
     "op6_quality": op6_quality,
