@@ -16,6 +16,7 @@ Spark's writer commits each file once, whatever executors are lost.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.words import Words, WordTable, chunks, ragged, spread, text_bytes
+from strata.llm.wordcode import UNSAFE, WordEncoder
+from strata.llm.words import chunks, ragged
 
 # Ids in a word and bits of each id, by selector.
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
@@ -33,8 +35,8 @@ ESCAPE = 15
 BLOCK = 256
 _U = np.uint64
 
-SEGMENT_BYTES = 1 << 20
-MEMORY = 1_000_000
+SEGMENT_BYTES = 1 << 19
+MEMORY = 300_000
 SEGMENTS = "part int, place int, doc_ids array<long>, lengths array<int>, block_offsets array<int>, payload binary"
 
 
@@ -138,7 +140,7 @@ def unpack(words: np.ndarray, block_offsets: np.ndarray | None = None) -> np.nda
     return out
 
 
-class Encoder:
+class Encoder(WordEncoder):
     """Ids of whole texts by the tokenizers library, which is asked once for each new word.
 
     Where white space is single spaces and line breaks between words, no merge and no cut of the
@@ -146,90 +148,35 @@ class Encoder:
     ids of such a text are those of its words.  Any other text goes to the library whole.
     """
 
-    UNSAFE = -1
-
     def __init__(self, file: str, end_id: int):
+        # A task has one core; the library's own threads would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(file)
-        self.end = end_id
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         marks = tuple(self.tokenizer.encode(c, add_special_tokens=False).tokens[0] for c in " \n")
         self.begins = np.zeros(max(names.values()) + 1, bool)
         self.begins[[i for name, i in names.items() if name.startswith(marks)]] = True
-        self.newline, self.stop, self.comma = (self.whole(c)[0] for c in "\n.,")
-        self.table = WordTable(MEMORY)
+        newline, stop, comma = (int(self.whole(c)[0]) for c in "\n.,")
+        super().__init__(MEMORY, newline, bare_opening=True, end=end_id, cut={46: stop, 44: comma})
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def learn(self, keys: np.ndarray, checks: np.ndarray, words: list[bytes], bare: np.ndarray) -> None:
-        """Ask the library for words, each after a line break (``bare``, its id left out) or a space."""
-        texts = [w.decode() for w in words]
-        safe = np.array([len(t.split()) == 1 and not any(s in t for s in self.special) for t in texts], bool)
-        # The first character can be white space to the library and not to split().
-        spaced = [("\n" if b else " ") + t for t, b, ok in zip(texts, bare.tolist(), safe.tolist()) if ok]
+    def learn(self, words: list[str], bare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        safe = np.array([len(t.split()) == 1 and not any(s in t for s in self.special) for t in words], bool)
+        spaced = [("\n" if b else " ") + t for t, b, ok in zip(words, bare.tolist(), safe.tolist()) if ok]
         lines = ["".join(spaced[k : k + 50]) for k in range(0, len(spaced), 50)]
         lines = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.array([i for line in lines for i in line.ids], np.uint32)
         first = np.flatnonzero(self.begins[ids])
-        sizes = np.full(len(words), self.UNSAFE)
+        sizes = np.full(len(words), UNSAFE)
         sizes[safe] = np.diff(np.append(first, len(ids))) - bare[safe]
         keep = np.ones(len(ids), bool)
         keep[first[bare[safe]]] = False
-        self.table.add(keys, checks, sizes, ids[keep])
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, the end id after each text, and how many each text has."""
-        words = Words(texts)
-        data, doc, first = words.data, words.doc(), words.first
-        starts, ends = words.starts, words.ends
-        opening = np.zeros(len(words), bool)
-        opening[first[:-1][words.counts > 0]] = True
-        before = data[np.maximum(starts - 1, 0)]
-        after_line = ~opening & (before == 10)
-        # Regular: nothing but one space or line break between words, and none at either end.
-        odd = np.bincount(doc[~opening & (before != 32) & (before != 10)], minlength=len(texts)) > 0
-        spans = np.bincount(doc, ends - starts, minlength=len(texts)) + words.counts
-        _, edges = text_bytes(texts)
-        odd |= np.diff(edges) + 1 != spans
-        last = data[ends - 1]
-        letter = data[np.maximum(ends - 2, 0)] | 32
-        cut = ((last == 46) | (last == 44)) & (ends - starts > 1) & (letter >= 97) & (letter <= 122)
-        words.ends = ends - cut
-        bare = opening | after_line
-        key = words.hashes(0) ^ (bare * np.uint64(0x9E3779B97F4A7C15))
-        unique, where, inverse = np.unique(key, return_index=True, return_inverse=True)
-        check = words.hashes(1)[where]
-        if len(self.table.keys) > self.table.limit:
-            self.table.reset()
-        at = self.table.find(unique, check)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            picked = where[new]
-            raw = data.tobytes()
-            spans = zip(starts[picked].tolist(), words.ends[picked].tolist())
-            self.learn(unique[new], check[new], [raw[a:b] for a, b in spans], bare[picked])
-            at = self.table.find(unique, check)
-        at = at[inverse]
-        core = self.table.sizes[at]
-        odd |= np.bincount(doc[core < 0], minlength=len(texts)) > 0
-        core = np.maximum(core, 0)
-        sizes = core + after_line + cut
-        lengths = np.bincount(doc, sizes, minlength=len(texts)).astype(np.int64) + 1
-        place = np.cumsum(sizes) - sizes + doc  # an end id after each text before this one
-        out = np.full(int(lengths.sum()), self.end, np.uint32)
-        out[place[after_line]] = self.newline
-        out[spread(place + after_line, core)] = self.table.pool[spread(self.table.starts[at], core)]
-        out[(place + sizes - 1)[cut]] = np.where(last[cut] == 46, self.stop, self.comma)
-        if odd.any():
-            parts = np.split(out, np.cumsum(lengths)[:-1])
-            for k in np.flatnonzero(odd):
-                parts[k] = np.append(self.whole(texts[int(k)].as_py()), np.uint32(self.end))
-            lengths = np.array([len(p) for p in parts])
-            out = np.concatenate(parts)
-        return out, lengths
+        return sizes, ids[keep]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -143,41 +143,6 @@ def chunks(
             at = end
 
 
-class WordTable:
-    """What is known of words, by 128-bit hash: lists of numbers in one pool.
-
-    Holds about ``limit`` words; beyond that those not met lately are forgotten.
-    """
-
-    def __init__(self, limit: int):
-        self.limit = limit
-        self.reset()
-
-    def reset(self) -> None:
-        self.keys = np.zeros(0, _U)
-        self.checks = np.zeros(0, _U)
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-
-    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """The place of each word, or -1."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), at, -1)
-
-    def add(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
-        """New words, in the order of their keys, with ``sizes`` numbers each."""
-        at = np.searchsorted(self.keys, keys)
-        starts = len(self.pool) + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
-        self.keys = np.insert(self.keys, at, keys)
-        self.checks = np.insert(self.checks, at, checks)
-        self.starts = np.insert(self.starts, at, starts)
-        self.sizes = np.insert(self.sizes, at, sizes)
-        self.pool = np.append(self.pool, values.astype(np.uint32))
-
-
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of the ranges that begin at ``starts``, one range after the other."""
     ends = np.cumsum(sizes)
