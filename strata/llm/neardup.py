@@ -5,11 +5,10 @@ the lowest value that falls into each; an empty bin copies from bins chosen by h
 and the attempt, the same for every text (optimal densification).  Bands of bins are buckets.
 
 Texts with the same set are one class from the start, by a 128-bit digest, so copies never meet in a
-bucket.  In a bucket each class is paired with a few centres only, never with all others.  Pairs are
-confirmed on the full sets.  A star can miss a link between two members that both fail against its centre, so
-this repeats: classes of one bucket that are still in different components meet new centres, until every bucket
-is of one component or has had all its members as centres.  Thus no pair that shares a bucket goes untested
-unless both are known to be of one component anyway.
+bucket.  In a bucket each class is paired with one centre, never with all others, and pairs are confirmed on
+the full sets.  A star can miss a link between two members that both fail against its centre, so buckets whose
+members are still in several components get a new centre each round, until two rounds in a row link nothing.
+A round's pairs are no more than the entries of open buckets.
 """
 
 from __future__ import annotations
@@ -27,7 +26,8 @@ from strata.llm.words import Words, chunks, mix, windows
 BINS = 192
 #: Chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
-CENTRES = 8
+#: So many rounds without a new link end the search.
+QUIET = 2
 _U = np.uint64
 
 
@@ -185,35 +185,38 @@ def near_duplicates(
         .mapInArrow(_sets(shingle), "class long, shingles array<long>"),
         "sets",
     )
+    # The first centre of a bucket is the member that meets most others over all its buckets: in a group of copies
+    # of one text, that text.  Later centres come in an order by hash, a new one each round.
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n"))
+    degrees = entries.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("degree"))
+    open_ = _stored(entries.join(degrees, "node"), "open")
     labels = tested = None
-    open_, centres_each = entries, 1  # one star first, which joins most groups
-    while True:
+    number = quiet = 0
+    while quiet < QUIET:
         state = open_.withColumn("component", F.col("node"))
         if labels is not None:
             state = open_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        state = _stored(
-            state.join(split.where("lo <> hi").select("bucket"), "bucket").withColumn(
-                "slice", F.pmod(F.xxhash64("node"), F.lit(centres_each))
-            ),
-            "open",
-        )
-        if state.isEmpty():
-            break
-        # Centres: of the smallest component first, as everything else in the bucket must be tested against it.
-        sizes = state.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        centres = _stored(
-            state.join(sizes, ["bucket", "component"])
-            .groupBy("bucket", "slice")
+        order = -F.col("degree") if number == 0 else F.xxhash64("node", F.lit(number))
+        centres = (
+            state.groupBy("bucket")
             .agg(
-                F.min(F.struct("n", "node", "component", "size")).alias("c"),
+                F.min("component").alias("lo"),
+                F.max("component").alias("hi"),
+                F.min(F.struct(order.alias("order"), "node", "component", "size")).alias("c"),
+            )
+            .where("lo <> hi")
+            .select(
+                "bucket",
+                F.col("c.node").alias("centre"),
+                F.col("c.component").alias("own"),
+                F.col("c.size").alias("centre_size"),
             )
-            .select("bucket", F.col("c.node").alias("centre"), F.col("c.component").alias("own"), F.col("c.size").alias("centre_size")),
-            "centres",
         )
+        state = _stored(state.join(centres, "bucket"), "stars")
         pairs = (
-            state.join(centres, "bucket")
-            .where(f"component <> own and 100 * least(size, centre_size) >= {percent} * greatest(size, centre_size)")
+            state.where(
+                f"component <> own and 100 * least(size, centre_size) >= {percent} * greatest(size, centre_size)"
+            )
             .select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"))
             .distinct()
         )
@@ -228,16 +231,16 @@ def near_duplicates(
             .where(100 * common >= percent * (F.size("x") + F.size("y") - common))
         )
         fresh = _stored(confirmed.select(F.col("u").alias("a"), F.col("v").alias("b")), "confirmed")
-        links = links.union(fresh)
-        if not fresh.isEmpty():
+        if fresh.isEmpty():
+            quiet += 1
+        else:
+            quiet = 0
+            links = links.union(fresh)
             labels = _stored(components(links), "labels")
-        open_ = _stored(
-            state.join(centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti").select(
-                "bucket", "node", "size"
-            ),
-            "left",
-        )
-        centres_each = CENTRES
+        open_ = state.where("node <> centre").select("bucket", "node", "size", "degree")
+        number += 1
+        if state.isEmpty():
+            break
     if labels is None:
         labels = components(links)
     # A component's smallest node is a class or an id that stands for one, so its smallest id.
