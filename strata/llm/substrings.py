@@ -206,7 +206,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         .agg(F.sort_array(F.collect_list("place")).alias("singles"))
     )
     known_path = scratch_dir(spark, "half-windows")
-    copies.join(singles, "_id", "full").write.parquet(known_path)
+    # Where an id has several texts the places of one say nothing of the others.
+    known = copies.join(singles, "_id", "full").withColumn("singles", F.expr("if(shared, null, singles)"))
+    known.write.parquet(known_path)
     known = spark.read.parquet(known_path)
 
     # Level 2: full windows that own a repeated half window, and where each starts first.
