@@ -166,7 +166,7 @@ class Encoder(WordEncoder):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def learn(self, words: list[str], bare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        safe = np.array([len(t.split()) == 1 and not any(s in t for s in self.special) for t in words], bool)
+        safe = np.array([t.split() == [t] and not any(s in t for s in self.special) for t in words], bool)
         spaced = [("\n" if b else " ") + t for t, b, ok in zip(words, bare.tolist(), safe.tolist()) if ok]
         lines = ["".join(spaced[k : k + 50]) for k in range(0, len(spaced), 50)]
         lines = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
