@@ -263,7 +263,8 @@ def labelled_sample(
     # The share of each class that fits the bound: one pass of sums, no sorting.
     sums = rows.groupBy("_label").agg(F.sum("_size").alias("s"), F.count("*").alias("n")).collect()
     totals, rows_of = {r["_label"]: r["s"] for r in sums}, {r["_label"]: r["n"] for r in sums}
-    among = (rows_of.get(1, 0) + 0.5) / (sum(rows_of.values()) + 1)
+    # Without any label the share is a quarter: nothing is rejected for want of knowledge.
+    among = (rows_of.get(1, 0) + 0.25) / (sum(rows_of.values()) + 1)
     share = F.lit(0.0)
     for value, total in totals.items():
         share = F.when(F.col("_label") == value, 0.9 * settings.per_class / max(total, 1)).otherwise(share)
