@@ -10,8 +10,9 @@ from strata.operators.history import scd2_step
 from strata.operators.quality import Related, Rule, run_suite
 from strata.plans import models as m
 from strata.schema import PORTFOLIOS
-from strata.sources.files import read_change_files, read_full_load
+from strata.sources.files import read_full_load
 from strata.sources.tables import Files, Lakehouse
+from strata.streaming.files import apply_change_files
 
 MODES = ("run", "test", "build")
 
@@ -34,8 +35,9 @@ def build(
 
     ``bronze`` holds ``orders/``, ``clients/``, ``inventory/`` and
     ``portfolios/`` with headered CSV files and change files in ``<entity>/cdc/``.
-    A table without a version is loaded in full, otherwise its changes are
-    applied.  All audit and version times of a run are one instant.  In
+    A table without a version is loaded in full, otherwise the change files that
+    no run has applied yet are, one after the other as they were written; which
+    were is kept in ``_applied/`` beside the tables.  All audit and version times of a run are one instant.  In
     ``build`` the rules of a table stop the run before a later table reads it.
     """
     if mode not in MODES:
@@ -94,8 +96,15 @@ def _stage(lake: Lakehouse, bronze: str, name: str, entity, batch_ts) -> None:
     files = Files(lake.spark, folder)
     if not any(n.endswith(".csv") for n in files.names(f"{folder}/cdc")):
         return
-    changes = read_change_files(lake.spark, f"{folder}/cdc", entity)
-    table.update(lambda present: m.staged_changes(present, changes, entity, batch_ts))
+    apply_change_files(
+        lake.spark,
+        f"{folder}/cdc",
+        entity,
+        table,
+        f"{lake.root}/_applied/{name}",
+        preserve=m.PRESERVED,
+        clock=lambda: batch_ts,
+    ).awaitTermination()
 
 
 def _dimension(lake: Lakehouse, bronze: str, version_ts) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 OP = "_cdc_op"
 SOURCE_FILE = "_source_file"
+ARRIVAL = "_arrival"
 AUDIT = ("ingestion_time", "last_updated_time")
 
 

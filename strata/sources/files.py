@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.schema import SOURCE_FILE, Entity
+from strata.schema import ARRIVAL, SOURCE_FILE, Entity
 
-# Lines may end in blanks that belong to the value; trimming is the conform step's work.
-_CSV = {"header": "true", "mode": "FAILFAST", "enforceSchema": "false"}
+# One dialect for all readers and writers: a quote inside a quoted value is doubled, a backslash is a
+# character like any other.  Blanks belong to the value; trimming is the conform step's work.
+_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+_CSV = {**_DIALECT, "mode": "FAILFAST", "enforceSchema": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """Headered CSV files of one folder or glob; subfolders are not entered.
 
     A value that does not match the header's shape raises instead of shifting
-    columns silently.
+    columns silently.  With ``multi_line`` values may hold line breaks inside
+    quotes; a file is then one task's work, so keep such files small.
     """
-    return spark.read.options(**_CSV).schema(schema).csv(path)
+    return spark.read.options(**_CSV, multiLine=multi_line).schema(schema).csv(path)
 
 
 def read_full_load(spark: SparkSession, folder: str, entity: Entity) -> DataFrame:
@@ -38,45 +43,56 @@ def stream_csv(
     spark: SparkSession,
     folder: str,
     schema: T.StructType,
-    max_files: int = 1,
+    max_files: int | None = 1,
     archive: str | None = None,
 ) -> DataFrame:
     """A file stream over a folder: each file is delivered once per checkpoint.
 
+    Without ``max_files`` all files that are there make one batch.
+
     ``archive`` moves finished files there; exactly-once rests on the
     checkpoint, not on the move.
     """
-    reader = (
-        spark.readStream.options(**_CSV).schema(schema).option("maxFilesPerTrigger", max_files)
-    )
+    reader = spark.readStream.options(**_CSV).schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.csv(folder).select(
         "*",
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         F.col("_metadata.file_modification_time").alias("_source_time"),
+        arrival().alias(ARRIVAL),
     )
 
 
+def arrival() -> Column:
+    """What orders files: when each was last written, then its path."""
+    return F.struct("_metadata.file_modification_time", "_metadata.file_path")
+
+
 def land(spark: SparkSession, source: str, landing: str, entity: Entity, run_date: date) -> DataFrame:
-    """Append the CSV files of ``source`` to the landing table of the entity.
+    """Bring the CSV files of ``source`` into the landing table of the entity.
 
-    Rows keep the file they came from and are partitioned by the day of
-    arrival.  A folder without CSV files raises.  Returns the landed day.
+    Rows keep the file they came from and are partitioned by the day of arrival
+    and the file, so landing a file of a day again replaces its rows.  A folder
+    without CSV files raises.  Returns the landed day.
     """
     rows = read_csv(spark, f"{source}/*.csv", entity.raw_schema()).select(
         "*",
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         F.lit(run_date).alias("_ingest_date"),
     )
-    rows.write.mode("append").partitionBy("_ingest_date").parquet(landing)
-    return spark.read.parquet(landing).filter(F.col("_ingest_date") == F.lit(run_date))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_ingest_date", SOURCE_FILE).parquet(landing)
+    landed = spark.read.schema(rows.schema).parquet(landing).select(*rows.columns)
+    return landed.filter(F.col("_ingest_date") == F.lit(run_date))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Headered CSV; blanks around values are kept, as readers expect them."""
     df.write.mode(mode).options(
-        header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        **_DIALECT, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
 
 

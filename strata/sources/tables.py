@@ -1,9 +1,10 @@
 """Versioned parquet tables: a folder convention for stores without MERGE.
 
-``<root>/<namespace>/<table>/data/v=<n>/`` holds what version n wrote and
-``commits/<n>.json`` makes it visible.  A reader takes the highest commit, so
-it never sees a half-written or missing table.  Creating the commit file fails
-if it exists, so of two writers one loses instead of overwriting the other.
+``<root>/<namespace>/<table>/data/v=<n>/w=<writer>/`` holds what a writer of
+version n wrote and ``commits/<n>.json`` makes one of them visible.  A reader
+takes the highest commit, so it never sees a half-written or missing table.
+Creating the commit file fails if it exists, so of two writers one loses; its
+rows lie in a folder of its own and harm nobody.
 Where a table format is available, feed the same DataFrames to its MERGE.
 """
 
@@ -13,10 +14,10 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 class Files:
@@ -112,8 +113,8 @@ class Table:
         current = self.version()
         return 0 if current is None else current + 1
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
+    def _folder(self, version: int, writer: str) -> str:
+        return f"{self.path}/data/v={version}/w={writer}"
 
     def _publish(self, df: DataFrame, version: int, **entry) -> int:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
@@ -122,21 +123,18 @@ class Table:
         return version
 
     # -- data ------------------------------------------------------------
-    def _holder(self, version: int) -> str:
-        """Catalog entry that tells Spark the buckets of one version."""
+    def _holder(self, version: int, writer: str) -> str:
+        """Catalog entry of what one writer wrote, which tells Spark its buckets."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
         place = hashlib.md5(self.path.encode()).hexdigest()[:8]
-        return f"{self.namespace}.{self.short_name}__{place}_v{version}"
+        return f"{self.namespace}.{self.short_name}__{place}_v{version}_{writer}"
 
     def read(self, version: int | None = None) -> DataFrame:
         entry = self.commit(version)
-        folder = self._folder(entry["version"])
         if self.bucket_by is None:
+            folder = self._folder(entry["version"], entry["writer"])
             return self.spark.read.schema(entry["schema"]).parquet(folder)
-        holder = self._holder(entry["version"])
-        if not self.spark.catalog.tableExists(holder):
-            self._external(self.spark, holder, entry["schema"], folder)
-        return self.spark.table(holder)
+        return self.spark.table(self._external(self.spark, entry))
 
     def overwrite(self, df: DataFrame, batch: int | None = None) -> int:
         """Write ``df`` as the next version, also if it reads the present one."""
@@ -155,17 +153,15 @@ class Table:
         return self._write(change(self.read()), batch)
 
     def _write(self, df: DataFrame, batch: int | None) -> int:
-        version = self._next()
-        writer = df.write.mode("overwrite")
+        version, writer = self._next(), _new_writer()
+        folder = self._folder(version, writer)
         if self.bucket_by is None:
-            writer.parquet(self._folder(version))
+            df.write.parquet(folder)
         else:
             column, n = self.bucket_by
-            holder = self._holder(version)
-            self.spark.sql(f"DROP TABLE IF EXISTS {holder}")
-            placed = writer.option("path", self._folder(version))
-            placed.bucketBy(n, column).sortBy(column).saveAsTable(holder)
-        return self._publish(df, version, batch=batch)
+            placed = df.write.option("path", folder).bucketBy(n, column).sortBy(column)
+            placed.saveAsTable(self._holder(version, writer))
+        return self._publish(df, version, writer=writer, batch=batch)
 
     def vacuum(self, keep: int = 1) -> list[int]:
         """Drop all but the last ``keep`` versions; returns the dropped ones."""
@@ -174,33 +170,44 @@ class Table:
         versions = self.versions()
         dropped, kept = versions[:-keep], versions[-keep:]
         for version in dropped:
+            entry = self.commit(version)
             self._files.delete(f"{self.path}/commits/{version}.json")
-            self._forget(version, kept[0])
+            self._forget(entry, kept[0])
         return dropped
 
-    def _forget(self, version: int, oldest_kept: int) -> None:
-        if self.bucket_by is not None:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._holder(version)}")
-        self._files.delete(self._folder(version))
+    def _forget(self, entry: dict, oldest_kept: int) -> None:
+        version = entry["version"]
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._holder(version, entry['writer'])}")
+        self._files.delete(f"{self.path}/data/v={version}")
 
     # -- catalog ---------------------------------------------------------
     def register(self, session: SparkSession | None = None) -> None:
-        """Make the present version readable as ``namespace.table`` and ``table``."""
+        """Make the present version readable as ``namespace.table`` and ``table``.
+
+        Each version has a catalog entry of its own and the names are views of it,
+        replaced in one step: a session that reads the names meanwhile finds them.
+        """
         spark = session or self.spark
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
-        self._define(spark, self.commit())
+        spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS {self._select(spark, self.commit())}")
         spark.table(self.name).createOrReplaceTempView(self.short_name)
 
-    def _define(self, spark: SparkSession, entry: dict) -> None:
-        self._external(spark, self.name, entry["schema"], self._folder(entry["version"]))
+    def _select(self, spark: SparkSession, entry: dict) -> str:
+        return f"SELECT * FROM {self._external(spark, entry)}"
 
-    def _external(self, spark: SparkSession, name: str, ddl: str, folder: str) -> None:
+    def _external(self, spark: SparkSession, entry: dict) -> str:
+        """The catalog entry of a version, made if it is not there."""
         buckets = ""
         if self.bucket_by is not None:
             column, n = self.bucket_by
             buckets = f"CLUSTERED BY ({column}) SORTED BY ({column}) INTO {n} BUCKETS"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {buckets} LOCATION '{folder}'")
+        holder = self._holder(entry["version"], entry["writer"])
+        folder = self._folder(entry["version"], entry["writer"])
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {holder} ({entry['schema']}) USING parquet {buckets} "
+            f"LOCATION '{folder}'"
+        )
+        return holder
 
 
 class HistoryTable(Table):
@@ -208,23 +215,30 @@ class HistoryTable(Table):
 
     A round writes its rows once, partitioned by ``is_current``.  The present
     dimension is the open partition of the last round and the closed partitions
-    of all rounds since the last full write, both picked by partition pruning;
-    closed history is never read or written by a later round.
+    of all rounds since the last full write, which the commit names; closed
+    history is never read or written by a later round.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
         super().__init__(spark, root, name)
 
-    @staticmethod
-    def _present(entry: dict):
-        last, first = entry["version"], entry["since"]
-        rounds = F.col("v").between(first, last)
-        return (F.col("is_current") & (F.col("v") == last)) | (~F.col("is_current") & rounds)
-
     def read(self, version: int | None = None) -> DataFrame:
+        """The folders of the wanted rounds only, by their paths; older ones are not listed."""
         entry = self.commit(version)
-        rows = self.spark.read.schema(f"{entry['schema']}, v bigint").parquet(f"{self.path}/data")
-        return rows.filter(self._present(entry)).drop("v").select(*_names(entry["schema"]))
+        reader = self.spark.read.schema(entry["schema"])
+        paths = []
+        for v, writer in entry["rounds"]:
+            folder = self._folder(v, writer)
+            for part in self._files.names(folder):
+                if part == "is_current=false" or (part == "is_current=true" and v == entry["version"]):
+                    paths.append(f"{folder}/{part}")
+        if not paths:
+            return self.spark.createDataFrame([], entry["schema"])
+        parts = [
+            reader.option("basePath", path.rsplit("/", 1)[0]).parquet(path).select(*_names(entry["schema"]))
+            for path in paths
+        ]
+        return reduce(DataFrame.unionAll, parts)
 
     def open_versions(self, version: int | None = None) -> DataFrame:
         return self.read(version).filter("is_current")
@@ -232,47 +246,50 @@ class HistoryTable(Table):
     def closed_versions(self, version: int | None = None) -> DataFrame:
         return self.read(version).filter("not is_current")
 
-    def _write_round(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").partitionBy("is_current").parquet(self._folder(version))
+    def _write_round(self, rows: DataFrame, rounds: list, batch: int | None) -> int:
+        version, writer = self._next(), _new_writer()
+        rows.write.partitionBy("is_current").parquet(self._folder(version, writer))
+        rounds = [*rounds, [version, writer]]
+        return self._publish(rows, version, writer=writer, rounds=rounds, batch=batch)
 
     def overwrite(self, df: DataFrame, batch: int | None = None) -> int:
-        version = self._next()
-        self._write_round(df, version)
-        return self._publish(df, version, since=version, batch=batch)
+        return self._write_round(df, [], batch)
 
     def advance(self, step: Callable[[DataFrame], DataFrame], batch: int | None = None) -> int:
         """Apply ``step`` to the open versions: its open rows replace them, its
         closed rows join the history."""
-        since, version = self.commit()["since"], self._next()
-        rows = step(self.open_versions())
-        self._write_round(rows, version)
-        return self._publish(rows, version, since=since, batch=batch)
-
-    def _forget(self, version: int, oldest_kept: int) -> None:
-        # The closed versions of a round stay while a kept version counts from it or before.
-        if version < self.commit(oldest_kept)["since"]:
-            self._files.delete(self._folder(version))
+        rounds = self.commit()["rounds"]
+        return self._write_round(step(self.open_versions()), rounds, batch)
+
+    def _forget(self, entry: dict, oldest_kept: int) -> None:
+        # The closed versions of a round stay while a kept version has it among its rounds.
+        version, writer = entry["version"], entry["writer"]
+        if [version, writer] in self.commit(oldest_kept)["rounds"]:
+            self._files.delete(f"{self._folder(version, writer)}/is_current=true")
         else:
-            self._files.delete(f"{self._folder(version)}/is_current=true")
-
-    def _define(self, spark: SparkSession, entry: dict) -> None:
-        rounds, ddl = f"{self.name}__rounds", entry["schema"]
-        spark.sql(f"DROP TABLE IF EXISTS {rounds}")
-        spark.sql(
-            f"CREATE TABLE {rounds} ({ddl}, v bigint) USING parquet "
-            f"PARTITIONED BY (v, is_current) LOCATION '{self.path}/data'"
-        )
-        try:
-            spark.catalog.recoverPartitions(rounds)
-        except AnalysisException:
-            pass  # this catalog lists the folders itself
-        columns = ", ".join(f"`{c}`" for c in _names(ddl))
-        last, first = entry["version"], entry["since"]
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name} AS SELECT {columns} FROM {rounds} "
-            f"WHERE (is_current AND v = {last}) "
-            f"OR (NOT is_current AND v BETWEEN {first} AND {last})"
-        )
+            self._files.delete(f"{self.path}/data/v={version}")
+
+    def _select(self, spark: SparkSession, entry: dict) -> str:
+        columns = ", ".join(f"`{c}`" for c in _names(entry["schema"]))
+        parts = []
+        for v, writer in entry["rounds"]:
+            # One entry per round: what a round wrote does not change any more.
+            holder = self._holder(v, writer)
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {holder} ({entry['schema']}) USING parquet "
+                f"PARTITIONED BY (is_current) LOCATION '{self._folder(v, writer)}'"
+            )
+            try:
+                spark.catalog.recoverPartitions(holder)
+            except AnalysisException:
+                pass  # this catalog lists the folders itself
+            wanted = "" if v == entry["version"] else " WHERE NOT is_current"
+            parts.append(f"SELECT {columns} FROM {holder}{wanted}")
+        return " UNION ALL ".join(parts)
+
+
+def _new_writer() -> str:
+    return uuid.uuid4().hex[:12]
 
 
 def _names(ddl: str) -> list[str]:

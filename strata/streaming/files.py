@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators.changes import merge_changes
 from strata.operators.conform import conform
 from strata.operators.history import scd2_step
-from strata.schema import SOURCE_FILE, Entity
+from strata.schema import ARRIVAL, Entity
 from strata.sources.files import stream_csv
 from strata.sources.tables import HistoryTable, Table
 
@@ -56,16 +56,17 @@ def apply_change_files(
 ) -> StreamingQuery:
     """Merge the change files of a folder into a table that has a baseline.
 
-    The files of one batch count in the order of their names, each as a batch
-    of its own, but the table is rewritten once for all of them.  Inside a file
-    a key's last row by the ``extra`` columns wins.
+    Files count in the order in which they were last written, those of one instant by
+    their path, each as a batch of its own.  ``max_files`` says how many are merged
+    by one write of the table and changes no row.  Inside a file a key's last
+    row by the ``extra`` columns wins.
     """
     schema = entity.raw_schema(changes=True)
     for c in extra:
         schema = schema.add(c, "string")
     rows = stream_csv(spark, folder, schema, max_files, archive)
     return merge_stream(
-        rows, entity, table, checkpoint, preserve, clock, order_by=extra, sequence=SOURCE_FILE
+        rows, entity, table, checkpoint, preserve, clock, order_by=extra, sequence=ARRIVAL
     )
 
 
@@ -119,14 +120,21 @@ def apply_snapshot_files(
     to_versions: Callable[[DataFrame, object], DataFrame],
     archive: str | None = None,
     batch_ts: Callable[[DataFrame], object] | None = None,
+    by_folder: bool = False,
 ) -> StreamingQuery:
-    """Apply full snapshots, one file per round, to a dimension.
-
-    ``to_versions(rows, ts)`` builds the open versions of a snapshot;
-    ``batch_ts(rows)`` gives the instant a file counts from, by default the
-    file's modification time.  The first file of a new table loads it.
+    """Apply full snapshots to a dimension, one per round, in the order they were written.
+
+    A snapshot is one file of ``folder`` or, ``by_folder``, all files of one folder in
+    it, which must arrive whole (as a committed write does).  ``to_versions(rows, ts)``
+    builds the open versions of a snapshot; ``batch_ts(rows)`` gives the instant it
+    counts from, by default when it was last written.  The first snapshot of a new
+    table loads it.  A batch that is delivered again after a failure finds its
+    snapshots applied and changes nothing.
     """
-    rows = stream_csv(spark, folder, entity.raw_schema(), 1, archive)
+    if by_folder:
+        rows = stream_csv(spark, f"{folder}/*", entity.raw_schema(), None, archive)
+    else:
+        rows = stream_csv(spark, folder, entity.raw_schema(), 1, archive)
 
     def moment(batch: DataFrame):
         if batch_ts is not None:
@@ -136,11 +144,22 @@ def apply_snapshot_files(
     def apply(batch: DataFrame, batch_id: int) -> None:
         if _seen(table, batch_id):
             return
+        if not by_folder:
+            round_of(batch, batch_id)
+            return
+        place = F.regexp_replace(f"{ARRIVAL}.file_path", "/[^/]*$", "")
+        found = batch.groupBy(place.alias("place")).agg(F.max("_source_time").alias("at"))
+        places = [r["place"] for r in found.orderBy("at", "place").collect()]  # one per snapshot
+        for n, one in enumerate(places, 1):
+            # The batch counts as seen with its last snapshot.
+            round_of(batch.filter(place == one), batch_id if n == len(places) else table.last_batch())
+
+    def round_of(snapshot: DataFrame, batch_id: int | None) -> None:
         if not table.exists():
-            table.overwrite(to_versions(batch, None), batch=batch_id)
+            table.overwrite(to_versions(snapshot, None), batch=batch_id)
             return
-        ts = moment(batch)
-        versions = to_versions(batch, ts)
+        ts = moment(snapshot)
+        versions = to_versions(snapshot, ts)
         table.advance(
             lambda present: scd2_step(present, versions, entity.key, batch_ts=ts),
             batch=batch_id,
