@@ -34,15 +34,19 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
-# Comments, quoted text and quoted names, so that none can hide or fake a keyword.
+# What can hide a keyword or an end mark from a first look at the text.
 _NOISE = re.compile(
     r"""(?P<comment>--[^\n]*|/\*.*?\*/)"""
     r"""|(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
     r"""|`(?P<name>[^`]*)`""",
     re.DOTALL,
 )
-# What a SELECT could use to reach outside the tables.
+# What a SELECT could use to reach outside the tables, in a text and in its plan.
 _REFUSED = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(|\busing\s*''", re.IGNORECASE)
+_REFUSED_NODES = ("CallMethodViaReflection", "TryReflect", "ScriptTransformation", "ScriptInputOutputSchema")
+
+# By kind of node, the methods that give the nodes below it.
+_PARTS: dict[str, list[str]] = {}
 
 
 class NotReadOnly(ValueError):
@@ -60,7 +64,8 @@ def _plain(found: re.Match) -> str:
 def check_read_only(sql: str) -> str:
     """The single SELECT or WITH statement in ``sql``, without its end mark.
 
-    Only a first filter: ``as_subquery`` is what keeps a statement from writing.
+    Only a first filter that needs no session: ``as_subquery`` keeps a statement from
+    writing, and ``check_plan`` judges what the text turned out to mean.
     """
     bare = _NOISE.sub(_plain, sql).strip()
     body = bare.rstrip("; \t\r\n")
@@ -107,9 +112,35 @@ def read_only_session(spark: SparkSession, tables: Iterable[Table] = ()) -> Spar
     return session
 
 
+def check_plan(rows: DataFrame) -> DataFrame:
+    """``rows``, unless their analysed plan calls outside the tables or holds a command.
+
+    Analysis runs nothing, and no spelling hides a node from it.
+    """
+    pending = [rows._jdf.queryExecution().analyzed()]
+    while pending:
+        node = pending.pop()
+        kind = node.getClass().getSimpleName()
+        if kind.startswith(_REFUSED_NODES) or kind.endswith("Command"):
+            raise NotReadOnly(f"a query may not hold {kind}")
+        if kind not in _PARTS:
+            methods = {m.getName() for m in node.getClass().getMethods() if not m.getParameterTypes()}
+            _PARTS[kind] = [m for m in ("children", "innerChildren", "expressions") if m in methods]
+            _PARTS[kind] += ["plan"] * ("Subquery" in kind and "plan" in methods)
+        for part in _PARTS[kind]:
+            nodes = getattr(node, part)()
+            if part == "plan":
+                pending.append(nodes)
+                continue
+            each = nodes.iterator()
+            while each.hasNext():
+                pending.append(each.next())
+    return rows
+
+
 def query(session: SparkSession, sql: str) -> DataFrame:
     """The rows of a read-only query."""
-    return session.sql(as_subquery(check_read_only(sql)))
+    return check_plan(session.sql(as_subquery(check_read_only(sql))))
 
 
 def new_job_id() -> str:
@@ -117,7 +148,7 @@ def new_job_id() -> str:
 
 
 def is_job_id(text: str) -> bool:
-    """Job ids become path segments, so nothing else may pass."""
+    """Whether ``text`` can be a job's id, and so a safe part of a path."""
     return re.fullmatch(r"[0-9a-f]{32}", text) is not None
 
 
@@ -138,6 +169,16 @@ class JobLog:
     def events(self) -> DataFrame:
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
 
+    def text(self, job_id: str) -> str:
+        """The SQL a job was submitted with."""
+        if not is_job_id(job_id):
+            raise ValueError("not a job id")
+        seen = self.events().filter((F.col("job_id") == job_id) & F.col("sql").isNotNull())
+        row = seen.orderBy("logged_at").select("sql").first()
+        if row is None:
+            raise LookupError(f"no job {job_id} was submitted")
+        return row["sql"]
+
     def runs(self) -> DataFrame:
         return fold_runs(self.events())
 
@@ -194,16 +235,15 @@ def run_job(
     spark: SparkSession,
     log: JobLog,
     job_id: str,
-    sql: str,
     results: str,
     tables: Iterable[Table] = (),
 ) -> str:
-    """Run a query, store its rows, and log how it went; returns the final status.
+    """Run the query that a job was submitted with, store its rows, and log how it went.
 
-    A query that fails is an outcome to record, not an error of the service.
+    Returns the final status.  A failing query is a status too and does not raise; an id
+    that was never submitted does.
     """
-    if not is_job_id(job_id):
-        raise ValueError("not a job id")
+    sql = log.text(job_id)
     started = datetime.now(timezone.utc)
     log.append(job_id, "running", 1, started_at=started)
     try:

@@ -73,7 +73,7 @@ def service(spark, tmp_path):
 def run(spark, service, sql):
     log, results, tables = service
     job = adhoc.submit(log, sql)
-    return job, adhoc.run_job(spark, log, job, sql, results, tables)
+    return job, adhoc.run_job(spark, log, job, results, tables)
 
 
 def test_job_that_succeeds(spark, service):
