@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import draw, tuple_differs
@@ -38,6 +38,9 @@ def reduce_changes(
     row = F.struct(*columns)
     order = F.struct(*order_by, row.alias("_row")) if order_by else row
     group = [key] if sequence is None else [key, sequence]
+    if sequence is not None:
+        unplaced = F.raise_error(F.lit(f"a change row has no {sequence}")).cast("boolean")
+        changes = changes.filter(F.when(F.col(sequence).isNull(), unplaced).otherwise(F.lit(True)))
     reduced = (
         changes.filter(F.col(op).isNotNull() & F.col(key).isNotNull())
         .groupBy(*group)
@@ -64,16 +67,16 @@ def _in_sequence(steps: DataFrame, key: str, sequence: str) -> DataFrame:
     """Fold the steps of each key into one, as if applied one after the other.
 
     The last step decides what is left.  A delete in some step makes all later
-    rows a fresh start.  A key has at most one row per step here, so the window
-    is bounded by the number of steps in the batch.
+    rows a fresh start.  Both folds combine on the map side and meet in an equi
+    join, so a key with very many steps is no single task's work.
     """
-    whole = Window.partitionBy(key)
-    last_delete = F.max(F.when(F.col("_gone"), F.col(sequence))).over(whole)
+    last_delete = F.max(F.when(F.col("_gone"), F.col(sequence)))
+    cuts = steps.groupBy(key).agg(last_delete.alias("_cut"))
     since = F.col("_row").isNotNull() & (
         F.col("_cut").isNull() | (F.col(sequence) >= F.col("_cut"))
     )
     return (
-        steps.withColumn("_cut", last_delete)
+        steps.join(cuts, key)
         .groupBy(key)
         .agg(
             F.bool_or("_gone").alias("_gone"),

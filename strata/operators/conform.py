@@ -41,7 +41,8 @@ def conform(
     columns += [F.col(c) for c in keep]
     if batch_ts is not None:
         columns += [instant(batch_ts, zoned=True).alias(c) for c in AUDIT]
-    return raw.filter(F.col(entity.key).isNotNull()).select(*columns)
+    # The key is judged after its cast, which can make it null where casts are lenient.
+    return raw.select(*columns).filter(F.col(entity.key).isNotNull())
 
 
 def split_rejects(raw: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:

@@ -33,16 +33,22 @@ def propagate_parents(
 ) -> DataFrame:
     """Children with their attributes replaced by those of their parent.
 
-    A change made once per parent reaches all its children alike.
+    A change made once per parent reaches all its children alike.  Children with
+    no parent, or with one that is not among ``parents``, keep their own values.
     """
-    own = [c for c in children.columns if c not in attributes]
+    given = {c: f"_parent_{c}" for c in attributes}
     joined = lookup_join(
-        children.select(*own),
-        parents.select(parent_key, *attributes),
+        children,
+        parents.select(parent_key, *attributes, F.lit(True).alias("_found")).withColumnsRenamed(given),
         [parent_key],
+        how="left",
         method=method,
     )
-    return joined.select(*children.columns)
+    replaced = [
+        F.when(F.col("_found"), F.col(given[c])).otherwise(F.col(c)).alias(c) if c in given else F.col(c)
+        for c in children.columns
+    ]
+    return joined.select(*replaced)
 
 
 def dense_index(ids: DataFrame, column: str, index: str = "idx") -> DataFrame:
