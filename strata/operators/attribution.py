@@ -11,6 +11,8 @@ from strata.functions.columns import slot_of, tuple_differs
 from strata.operators.history import DEFAULT, ControlColumns, covers, scd2_current
 from strata.operators.skew import lookup_join
 
+#: Keys with fewer versions are not cut into slots.
+MANY_VERSIONS = 24
 _STEP = {s: f"interval 1 {s}" for s in ("year", "month", "week", "day")}
 
 
@@ -32,8 +34,8 @@ def point_in_time_join(
 
     ``range``   equi join on the key, the interval as a residual condition.
     ``salted``  the same with hot fact keys spread over many tasks.
-    ``slots``   both sides also cut by calendar slot, for keys with many
-                versions: a fact meets only the versions alive in its slot.
+    ``slots``   both sides of keys with many versions also cut by calendar
+                slot: a fact meets only the versions alive in its slot.
     ``auto``    range where Spark splits hot partitions itself or can broadcast
                 the versions, else salted.
 
@@ -49,7 +51,7 @@ def point_in_time_join(
     left = facts.withColumn("_at", F.col(ts).cast("timestamp_ntz"))
     condition = covers(F.col("_at"), names)
     if method == "slots":
-        left, right = _slotted(left, right, slot, names)
+        left, right = _slotted(left, right, key, slot, names)
         keys, method = [key, "_slot"], "auto"
     else:
         keys, method = [key], {"range": "plain"}.get(method, method)
@@ -58,13 +60,17 @@ def point_in_time_join(
 
 
 def _slotted(
-    facts: DataFrame, versions: DataFrame, slot: str, names: ControlColumns
+    facts: DataFrame, versions: DataFrame, key: str, slot: str, names: ControlColumns
 ) -> tuple[DataFrame, DataFrame]:
     """Facts tagged with their slot, versions repeated for each slot they are alive in.
 
-    The repetition is clipped to the span of the facts, so an open end or a
-    start in 1900 costs no slots outside the data.
+    Only keys with ``MANY_VERSIONS`` or more are cut; all others stay whole, in one
+    slot that stands for all time.  The repetition is clipped to the span of the
+    facts, so an open end or a start in 1900 costs no slots outside the data.
     """
+    counts = versions.groupBy(key).agg(F.count("*").alias("_n"))
+    many = counts.filter(F.col("_n") >= MANY_VERSIONS).select(key, F.lit(True).alias("_cut"))
+    whole = slot_of(F.lit("1970-01-01").cast("timestamp_ntz"), slot)
     span = facts.agg(F.struct(F.min("_at").alias("lo"), F.max("_at").alias("hi"))).scalar()
     lo, hi = span["lo"], span["hi"]
     alive = versions.filter(
@@ -73,10 +79,11 @@ def _slotted(
     )
     first = slot_of(F.greatest(F.col(names.valid_from), lo), slot)
     last = slot_of(F.least(F.coalesce(F.col(names.valid_to), hi), hi), slot)
-    slots = F.sequence(first, last, F.expr(_STEP[slot]))
+    slots = F.when(F.col("_cut"), F.sequence(first, last, F.expr(_STEP[slot]))).otherwise(F.array(whole))
+    own = F.when(F.col("_cut"), slot_of("_at", slot)).otherwise(whole)
     return (
-        facts.withColumn("_slot", slot_of("_at", slot)),
-        alive.withColumn("_slot", F.explode(slots)),
+        facts.join(many, key, "left").withColumn("_slot", own).drop("_cut"),
+        alive.join(many, key, "left").withColumn("_slot", F.explode(slots)).drop("_cut"),
     )
 
 

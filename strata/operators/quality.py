@@ -97,11 +97,14 @@ def overlap_failures(
     across = Window.partitionBy(key).orderBy("_slot")
     firsts = rows.groupBy(key, "_slot").agg(F.min(start).alias("_first"))
     following = firsts.select(
-        key, "_slot", F.lead("_first").over(across).alias("_next_slot_start")
+        F.col(key).alias("_key"),
+        F.col("_slot").alias("_of"),
+        F.lead("_first").over(across).alias("_next_slot_start"),
     )
     return (
         rows.withColumn("_next_here", F.lead(start).over(inside))
-        .join(following, [key, "_slot"])
+        # Versions without a key are checked against each other too.
+        .join(following, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col("_of")))
         .withColumn("next_valid_from", F.coalesce("_next_here", "_next_slot_start"))
         .filter(
             F.col("next_valid_from").isNotNull()
@@ -265,8 +268,9 @@ def _entry(rule: Rule, failures: Column) -> list[Column]:
 def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """A report with one row per rule: rule, table_name, column_name, failures.
 
-    All row rules of a table share one scan and one aggregate; the others read
-    only their own columns.
+    All row rules of a table share one scan and one aggregate, and so do all rules
+    on its keys: their columns are turned into rows of (rule, value) and counted at
+    once.  Values of a key are compared as text.
     """
     parts = []
     for table, df in tables.items():
@@ -277,16 +281,45 @@ def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
             )
             entries = [F.struct(*_entry(r, F.col(f"_{i}"))) for i, r in enumerate(row_rules)]
             parts.append(counts.select(F.inline(F.array(*entries))))
+        key_rules = [r for r in rules if r.table == table and isinstance(r, Unique | Related)]
+        if key_rules:
+            parts.append(_key_report(df, key_rules, tables))
     for r in rules:
-        df = tables[r.table]
-        if isinstance(r, Unique):
-            found = unique_failures(df, r.column, r.where).agg(F.count("*").alias("_n"))
-        elif isinstance(r, Related):
-            orphans = orphan_failures(df, r.column, tables[r.parent], r.parent_column)
-            found = orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-        elif isinstance(r, NoOverlap):
-            found = overlap_failures(df, r.column).agg(F.count("*").alias("_n"))
-        else:
-            continue
-        parts.append(found.select(*_entry(r, F.col("_n"))))
+        if isinstance(r, NoOverlap):
+            found = overlap_failures(tables[r.table], r.column).agg(F.count("*").alias("_n"))
+            parts.append(found.select(*_entry(r, F.col("_n"))))
     return reduce(DataFrame.unionByName, parts)
+
+
+def _key_report(df: DataFrame, rules: Sequence[Unique | Related], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of the report for all rules on the keys of one table."""
+
+    def value(i: int, column: str, where: str | None = None) -> Column:
+        text = F.col(column).cast("string")
+        return F.struct(F.lit(i).alias("rule"), (F.when(F.expr(where), text) if where else text).alias("value"))
+
+    entries = [value(i, r.column, r.where if isinstance(r, Unique) else None) for i, r in enumerate(rules)]
+    rows = df.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
+    counted = rows.groupBy("rule", "value").agg(F.count("*").alias("n"))
+    found = []
+    unique = [(i, r) for i, r in enumerate(rules) if isinstance(r, Unique)]
+    if unique:
+        repeated = counted.agg(
+            *[F.count_if((F.col("rule") == i) & (F.col("n") > 1)).alias(f"_{i}") for i, _ in unique]
+        )
+        found.append((repeated, unique))
+    related = [(i, r) for i, r in enumerate(rules) if isinstance(r, Related)]
+    if related:
+        parents = reduce(
+            DataFrame.unionAll,
+            [tables[r.parent].select(F.inline(F.array(value(i, r.parent_column)))) for i, r in related],
+        ).distinct()
+        references = counted.filter(F.col("rule").isin([i for i, _ in related]))
+        orphans = references.join(parents, ["rule", "value"], "left_anti")
+        sums = [F.sum(F.when(F.col("rule") == i, F.col("n"))) for i, _ in related]
+        lost = orphans.agg(*[F.coalesce(s, F.lit(0)).alias(f"_{i}") for s, (i, _) in zip(sums, related)])
+        found.append((lost, related))
+    reports = [
+        one.select(F.inline(F.array(*[F.struct(*_entry(r, F.col(f"_{i}"))) for i, r in own]))) for one, own in found
+    ]
+    return reduce(DataFrame.unionByName, reports)
