@@ -105,6 +105,7 @@ def fct_portfolio_revenue(
     return portfolio_revenue(orders, dimension, generated_at, method)
 
 
+# The rules of each table, by column.
 RULES: tuple[Rule, ...] = (
     Unique(STG_ORDERS, "order_id"),
     NotNull(STG_ORDERS, "order_id"),

@@ -43,6 +43,7 @@ SAMPLE = {
         "106,3,Portfolio 3,3,Manager 3,pt,silver",
     ],
 }
+# Sample change rows that the golden results follow from.
 CHANGES = {
     ORDERS: [
         "1,101,1,3,2026-01-08,599.70,Paid,U",

@@ -24,6 +24,20 @@ SNAPSHOT_TIMES = {
     3: "2000-01-01 12:00:00",
 }
 
+#: Statements for the guard; a region's key and name are put in.
+STATEMENTS = (
+    "select {k} as k",
+    "-- {name}\nselect count(*) as n from region where r_name = '{name}; drop'",
+    "with t as (select {k} as k) select k from t;",
+    "select 'reflect(' as a, {k} as k",
+    "drop table region_{k}",
+    "select {k}; select 1",
+    "insert into region select {k}, '{name}', ''",
+    "select reflect('java.lang.System', '{name}')",
+    r"select r'\' as a, reflect('java.lang.System', 'nanoTime') as h, '' as b, {k} as k",
+    r"select {k} as k where exists(select r'\', java_method('java.lang.System', 'nanoTime'), '')",
+)
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from strata.plans.models import (
     portfolio_versions,
     staged_changes,
 )
+from strata.plans.pipeline import build
 from strata.schema import (
     CLIENT_SEGMENTS,
     CLIENTS,
@@ -681,6 +683,44 @@ def run_log(spark, sf):
     )
 
 
+@query
+def job_records(spark, sf):
+    """Each job's state as a JSON record, and what a client reads back from it."""
+    runs = adhoc.fold_runs(_job_events(spark, sf), order_by=["step"])
+    record = F.to_json(F.struct("job_id", "sql", "status", "row_count", "error"))
+    read = F.from_json("record", "job_id long, status string, row_count long")
+    return (
+        runs.select("job_id", record.alias("record"))
+        .withColumn("read", read)
+        .select("job_id", "record", "read.status", F.coalesce("read.row_count", F.lit(-1)).alias("row_count"))
+    )
+
+
+@query
+def guard_verdicts(spark, sf):
+    """Statements made from the regions, and whether the guard lets them run."""
+    session = adhoc.read_only_session(spark)
+    table(session, sf, "region").createOrReplaceTempView("region")
+    verdicts = []
+    for row in table(spark, sf, "region").collect():  # one row per region of the world
+        for text in b.STATEMENTS:
+            statement = text.replace("{k}", str(row["r_regionkey"])).replace("{name}", row["r_name"])
+            try:
+                adhoc.query(session, statement)
+                verdicts.append((statement, True))
+            except adhoc.NotReadOnly:
+                verdicts.append((statement, False))
+    return spark.createDataFrame(verdicts, "statement string, accepted boolean")
+
+
+@query
+def order_ages(spark, sf):
+    """Days from each order to the date of the batch."""
+    batch_date = F.lit(b.BATCH_2).cast("timestamp").cast("date")
+    orders = _orders(spark, sf).select("order_id", F.date_diff(batch_date, "order_date").alias("age_days"))
+    return orders.withColumn("batch_date", batch_date.cast("string"))
+
+
 @query
 def recent_jobs(spark, sf):
     runs = adhoc.fold_runs(_job_events(spark, sf), order_by=["step"])
@@ -707,7 +747,7 @@ def adhoc_region_counts(spark, sf):
         "from gold.fct_portfolio_revenue group by 1;"
     )
     job = adhoc.submit(log, sql)
-    state = adhoc.run_job(spark, log, job, sql, f"{lake.root}/results", [gold])
+    state = adhoc.run_job(spark, log, job, f"{lake.root}/results", [gold])
     if state != "succeeded":
         raise RuntimeError(log.runs().select("error").first()["error"])
     return adhoc.read_result(spark, f"{lake.root}/results", job)
@@ -813,7 +853,8 @@ def stream_change_files(spark, sf):
     times = iter((b.BATCH_1, b.BATCH_2))
     for raw in (b.raw_batch_1, b.raw_batch_2):
         rows = raw(spark, sf).select(*ORDERS.columns, OP, text_of("_cdc_seq").alias("_cdc_seq"))
-        rows.coalesce(1).write.mode("append").option("header", "true").csv(f"{folder}/cdc")
+        # A key's rows stay in one file, so the files of a batch do not depend on each other.
+        write_csv(rows.repartition(3, ORDERS.key), f"{folder}/cdc", mode="append")
         for _ in range(2):  # the second run finds no new file
             stream = apply_change_files(
                 spark,
@@ -829,6 +870,26 @@ def stream_change_files(spark, sf):
     return portable(orders.read())
 
 
+@query
+def build_two_rounds(spark, sf):
+    """The whole build three times: a first load, then a change batch before each later run."""
+    folder = scratch_dir(spark, "build")
+    lake = Lakehouse(spark, f"{folder}/lake")
+    for name, raw in (
+        ("orders", b.raw_orders(spark, sf)),
+        ("clients", b.raw_clients(spark, sf)),
+        ("inventory", b.raw_inventory(spark, sf)),
+        ("portfolios", b.raw_snapshot(spark, sf)),
+    ):
+        write_csv(raw, f"{folder}/bronze/{name}")
+    build(lake, f"{folder}/bronze", datetime.fromisoformat(b.LOADED), mode="run")
+    for raw, at in ((b.raw_batch_1, b.BATCH_1), (b.raw_batch_2, b.BATCH_2)):
+        rows = raw(spark, sf).select(*ORDERS.columns, OP).repartition(3, ORDERS.key)
+        write_csv(rows, f"{folder}/bronze/orders/cdc", mode="append")
+        build(lake, f"{folder}/bronze", datetime.fromisoformat(at), mode="run")
+    return portable(lake.table("silver.stg_orders").read())
+
+
 @query
 def stream_backlog(spark, sf):
     """Both change files waiting: taken in one after the other, the table written once."""
@@ -837,7 +898,7 @@ def stream_backlog(spark, sf):
     orders.overwrite(_staged_orders(spark, sf))
     for name, raw in (("1", b.raw_batch_1), ("2", b.raw_batch_2)):
         rows = raw(spark, sf).select(*ORDERS.columns, OP, F.lit(name).alias("_cdc_seq"))
-        write_csv(rows.coalesce(1), f"{folder}/cdc/{name}")
+        write_csv(rows, f"{folder}/cdc/{name}")
     changes = spark.readStream.schema(
         ORDERS.raw_schema(changes=True).add("_cdc_seq", "string")
     )
@@ -856,12 +917,12 @@ def stream_backlog(spark, sf):
 
 @query
 def stream_snapshot_files(spark, sf):
-    """Four snapshots taken in by a file stream, one dimension round per file."""
+    """Four snapshots of several files taken in by a stream, one dimension round each."""
     folder = scratch_dir(spark, "stream")
     dim = Lakehouse(spark, f"{folder}/lake").history("silver.dim_client_portfolio")
     times = dict(b.SNAPSHOT_TIMES)
     for n in range(4):
-        write_csv(b.raw_snapshot(spark, sf, n).coalesce(1), f"{folder}/in", mode="append")
+        write_csv(b.raw_snapshot(spark, sf, n).repartition(3), f"{folder}/in/{n}")
         apply_snapshot_files(
             spark,
             f"{folder}/in",
@@ -870,6 +931,7 @@ def stream_snapshot_files(spark, sf):
             f"{folder}/checkpoint",
             portfolio_versions,
             batch_ts=lambda rows, n=n: times[n],
+            by_folder=True,
         ).awaitTermination()
     return portable(dim.read())
 
