@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schema import ARRIVAL, SOURCE_FILE, Entity
+from strata.sources.tables import Files
 
 # One dialect for all readers and writers: a quote inside a quoted value is doubled, a backslash is a
 # character like any other.  Blanks belong to the value; trimming is the conform step's work.
@@ -108,10 +110,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
 def replace_snapshot(df: DataFrame, path: str) -> None:
     """Overwrite a snapshot folder, also with rows derived from that folder.
 
-    The new rows are written beside the old first, since a folder cannot be
-    read and overwritten at once.
+    The new rows are written beside the old, then the folders change names and the
+    old one goes.  A crash on the way leaves the old rows, under their name or beside it.
     """
-    staged = f"{path.rstrip('/')}__staged"
-    write_csv(df, staged, mode="overwrite")
-    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
-    write_csv(read_csv(df.sparkSession, staged, text_schema), path, mode="overwrite")
+    path, token = path.rstrip("/"), uuid.uuid4().hex
+    staged, old = f"{path}__new-{token}", f"{path}__old-{token}"
+    write_csv(df, staged)
+    files = Files(df.sparkSession, path)
+    if files.exists(path):
+        files.rename(path, old)
+    files.rename(staged, path)
+    files.delete(old)
+    df.sparkSession.catalog.refreshByPath(path)

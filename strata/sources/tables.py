@@ -63,6 +63,13 @@ class Files:
     def _no_overwrite(self):
         return self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
 
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def rename(self, path: str, to: str) -> None:
+        """Give a folder a new name, failing if that is taken."""
+        self._context.rename(self._path(path), self._path(to), self._no_overwrite())
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
