@@ -57,9 +57,32 @@ def headline(spark: SparkSession, sf: str, repeats: int) -> tuple[dict, dict]:
         first[name] = round(timed(lambda: run(query(spark, sf))), 3)
         runs = [timed(lambda: run(query(spark, sf))) for _ in range(repeats)]
         warm[name] = round(statistics.median(runs), 3)
+    for name, seconds in joins(spark, sf, repeats).items():
+        first[name], warm[name] = seconds
     return first, warm
 
 
+def joins(spark: SparkSession, sf: str, repeats: int) -> dict[str, tuple[float, float]]:
+    """The point-in-time join alone, on orders and a dimension that are stored before."""
+    from strata.operators.attribution import point_in_time_join
+    from workload import bindings as b
+    from workload.queries import _orders
+
+    folder = scratch_dir(spark, "stored")
+    _orders(spark, sf).write.parquet(f"{folder}/orders")
+    b.dimension(spark, sf, 3).read().write.parquet(f"{folder}/versions")
+    orders, versions = (spark.read.parquet(f"{folder}/{t}") for t in ("orders", "versions"))
+    out = {}
+    for method in ("range", "slots"):
+
+        def join(method=method):
+            run(point_in_time_join(orders, versions, "customer_id", "order_date", ["portfolio_id"], method=method))
+
+        once = round(timed(join), 3)
+        out[f"join_stored_{method}"] = (once, round(statistics.median(timed(join) for _ in range(repeats)), 3))
+    return out
+
+
 def make_sources(spark: SparkSession, folder: str, orders: int, clients: int, products: int) -> None:
     """Raw CSV sources of the scale run, every value drawn from the row's key."""
 
