@@ -22,6 +22,7 @@ from strata.llm.words import chunks, text_bytes
 #: Entries kept per worker before its memory of pre-tokens starts anew.
 MEMORY = 400_000
 CHUNK = 1 << 20
+_NO_RANK = 1 << 40
 
 
 def byte_symbols() -> list[str]:
@@ -62,10 +63,10 @@ class MergeTable:
         """Rank (or a large number) and merged symbol of each pair."""
         key = left * self.size + right
         if not len(self.pairs):
-            return np.full(len(key), 1 << 40), key
+            return np.full(len(key), _NO_RANK), key
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         found = self.pairs[at] == key
-        return np.where(found, self.ranks[at], 1 << 40), self.merged[at]
+        return np.where(found, self.ranks[at], _NO_RANK), self.merged[at]
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The symbols left of all words, and how many each word has."""
@@ -79,18 +80,17 @@ class MergeTable:
         while len(symbols):
             inside = np.append(word[1:] == word[:-1], False)
             rank, merged = self.rank(symbols, np.append(symbols[1:], 0))
-            rank[~inside] = 1 << 40
+            rank[~inside] = _NO_RANK
             begins = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             lowest = np.minimum.reduceat(rank, begins)
             sizes = np.diff(np.append(begins, len(word)))
-            finished = np.repeat(lowest >= 1 << 40, sizes)
-            if finished.any():
-                done_symbols.append(symbols[finished])
-                done_words.append(word[finished])
-                going = ~finished
-                lowest = lowest[lowest < 1 << 40]
-                sizes = np.diff(np.append(np.flatnonzero(np.append(True, np.diff(word[going]) != 0)), going.sum())) if going.any() else sizes[:0]
+            open_ = lowest < _NO_RANK
+            going = np.repeat(open_, sizes)
+            if not going.all():
+                done_symbols.append(symbols[~going])
+                done_words.append(word[~going])
                 symbols, word, rank, merged = symbols[going], word[going], rank[going], merged[going]
+                lowest, sizes = lowest[open_], sizes[open_]
                 if not len(symbols):
                     break
             hit = rank == np.repeat(lowest, sizes)
