@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class Files:
@@ -70,6 +71,10 @@ class Files:
         """Give a folder a new name, failing if that is taken."""
         self._context.rename(self._path(path), self._path(to), self._no_overwrite())
 
+    def size(self, path: str) -> int:
+        """Bytes below a folder."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -159,6 +164,12 @@ class Table:
         """
         return self._write(change(self.read()), batch)
 
+    def merge(
+        self, keys: DataFrame, change: Callable[[DataFrame], DataFrame], batch: int | None = None
+    ) -> int:
+        """As ``update``, for a change that touches rows of ``keys`` only (its one column is the key)."""
+        return self.update(change, batch)
+
     def _write(self, df: DataFrame, batch: int | None) -> int:
         version, writer = self._next(), _new_writer()
         folder = self._folder(version, writer)
@@ -202,6 +213,21 @@ class Table:
     def _select(self, spark: SparkSession, entry: dict) -> str:
         return f"SELECT * FROM {self._external(spark, entry)}"
 
+    def _parts_entry(self, spark: SparkSession, ddl: str, version: int, writer: str, by: str) -> str:
+        """The catalog entry of a folder with parts; what a writer wrote does not change any more."""
+        holder = self._holder(version, writer)
+        column = by.split(" ")[0]
+        more = "" if column == by else f", {by}"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {holder} ({ddl}{more}) USING parquet "
+            f"PARTITIONED BY ({column}) LOCATION '{self._folder(version, writer)}'"
+        )
+        try:
+            spark.catalog.recoverPartitions(holder)
+        except AnalysisException:
+            pass  # this catalog lists the folders itself
+        return holder
+
     def _external(self, spark: SparkSession, entry: dict) -> str:
         """The catalog entry of a version, made if it is not there."""
         buckets = ""
@@ -217,6 +243,71 @@ class Table:
         return holder
 
 
+class SlicedTable(Table):
+    """A table in ``n`` slices by a hash of its key; a merge reads and writes touched slices only.
+
+    The commit names the folder that holds the present rows of each slice.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str, key: str, n: int):
+        super().__init__(spark, root, name)
+        self.key, self.n = key, n
+
+    def _slice_of(self, column: str, kind: str):
+        return F.pmod(F.xxhash64(F.col(column).cast(kind)), F.lit(self.n)).cast("int")
+
+    def read(self, version: int | None = None, slices: set[int] | None = None) -> DataFrame:
+        entry = self.commit(version)
+        paths = [
+            f"{self._folder(v, writer)}/_slice={k}"
+            for k, (v, writer) in entry["slices"].items()
+            if slices is None or int(k) in slices
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], entry["schema"])
+        return self.spark.read.schema(entry["schema"]).parquet(*paths)
+
+    def merge(
+        self, keys: DataFrame, change: Callable[[DataFrame], DataFrame], batch: int | None = None
+    ) -> int:
+        entry = self.commit()
+        kind = self.read().schema[self.key].dataType.simpleString()
+        touched = keys.select(self._slice_of(keys.columns[0], kind).alias("k")).distinct()
+        touched = {r["k"] for r in touched.collect()}  # at most n numbers
+        kept = {k: place for k, place in entry["slices"].items() if int(k) not in touched}
+        return self._write_slices(change(self.read(slices=touched)), kept, batch)
+
+    def _write(self, df: DataFrame, batch: int | None) -> int:
+        return self._write_slices(df, {}, batch)
+
+    def _write_slices(self, df: DataFrame, kept: dict, batch: int | None) -> int:
+        version, writer = self._next(), _new_writer()
+        folder = self._folder(version, writer)
+        kind = df.schema[self.key].dataType.simpleString()
+        rows = df.withColumn("_slice", self._slice_of(self.key, kind)).hint("rebalance", "_slice")
+        rows.write.partitionBy("_slice").parquet(folder)
+        names = [n.removeprefix("_slice=") for n in self._files.names(folder) if n.startswith("_slice=")]
+        slices = kept | {k: [version, writer] for k in names}
+        return self._publish(df, version, writer=writer, slices=slices, batch=batch)
+
+    def _forget(self, entry: dict, oldest_kept: int) -> None:
+        used = {tuple(place) for v in self.versions() for place in self.commit(v)["slices"].values()}
+        if (entry["version"], entry["writer"]) not in used:
+            self._files.delete(f"{self.path}/data/v={entry['version']}")
+
+    def _select(self, spark: SparkSession, entry: dict) -> str:
+        columns = ", ".join(f"`{c}`" for c in _names(entry["schema"]))
+        folders: dict[tuple, list[str]] = {}
+        for k, place in entry["slices"].items():
+            folders.setdefault(tuple(place), []).append(k)
+        parts = []
+        for (v, writer), own in folders.items():
+            holder = self._parts_entry(spark, entry["schema"], v, writer, "_slice INT")
+            parts.append(f"SELECT {columns} FROM {holder} WHERE _slice IN ({', '.join(own)})")
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in _fields(entry["schema"]))
+        return " UNION ALL ".join(parts) or f"SELECT {nothing} WHERE false"
+
+
 class HistoryTable(Table):
     """A type-2 dimension: open versions are rewritten, closed ones only added.
 
@@ -280,16 +371,7 @@ class HistoryTable(Table):
         columns = ", ".join(f"`{c}`" for c in _names(entry["schema"]))
         parts = []
         for v, writer in entry["rounds"]:
-            # One entry per round: what a round wrote does not change any more.
-            holder = self._holder(v, writer)
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {holder} ({entry['schema']}) USING parquet "
-                f"PARTITIONED BY (is_current) LOCATION '{self._folder(v, writer)}'"
-            )
-            try:
-                spark.catalog.recoverPartitions(holder)
-            except AnalysisException:
-                pass  # this catalog lists the folders itself
+            holder = self._parts_entry(spark, entry["schema"], v, writer, "is_current")
             wanted = "" if v == entry["version"] else " WHERE NOT is_current"
             parts.append(f"SELECT {columns} FROM {holder}{wanted}")
         return " UNION ALL ".join(parts)
@@ -299,10 +381,14 @@ def _new_writer() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def _names(ddl: str) -> list[str]:
+def _fields(ddl: str) -> list:
     from pyspark.sql.types import StructType
 
-    return StructType.fromDDL(ddl).names
+    return StructType.fromDDL(ddl).fields
+
+
+def _names(ddl: str) -> list[str]:
+    return [f.name for f in _fields(ddl)]
 
 
 class Lakehouse:
@@ -315,5 +401,8 @@ class Lakehouse:
     def table(self, name: str, bucket_by: tuple[str, int] | None = None) -> Table:
         return Table(self.spark, self.root, name, bucket_by)
 
+    def sliced(self, name: str, key: str, n: int) -> SlicedTable:
+        return SlicedTable(self.spark, self.root, name, key, n)
+
     def history(self, name: str) -> HistoryTable:
         return HistoryTable(self.spark, self.root, name)

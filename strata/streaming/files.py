@@ -94,7 +94,8 @@ def merge_stream(
         # The merge may read the batch more than once.
         changes.persist()
         try:
-            table.update(
+            table.merge(
+                changes.select(entity.key),
                 lambda present: merge_changes(
                     present,
                     changes,

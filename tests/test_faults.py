@@ -209,3 +209,25 @@ def test_a_key_that_the_cast_loses_is_no_row(spark):
 def test_full_load_reads_quotes(spark, tmp_path):
     write_file(tmp_path, "c.csv", HEADER.rsplit(",", 1)[0], '1,"Bob ""B"" Lee",,BR,2020-01-01,vip')
     assert read_full_load(spark, str(tmp_path), CLIENTS).first()["name"] == 'Bob "B" Lee'
+
+
+def test_a_merge_writes_the_slices_it_touches(spark, tmp_path):
+    table = Lakehouse(spark, str(tmp_path / "lake")).sliced("silver.sliced", "id", 8)
+    table.overwrite(spark.range(1000).select("id", F.lit("a").alias("v")))
+    before = table.commit()["slices"]
+    assert len(before) == 8
+    batch = spark.createDataFrame([(1, "b", "U"), (2, None, "D"), (5000, "n", "I")], "id long, v string, _cdc_op string")
+    table.merge(batch.select(F.col("id").cast("int")), lambda now: merge_changes(now, batch, "id"))
+    after = table.commit()["slices"]
+    assert 5 <= sum(before[k] == after[k] for k in before) < 8
+    got = dict(rows(table.read()))
+    assert len(got) == 1000 and got[1] == "b" and got[5000] == "n" and 2 not in got and got[3] == "a"
+    table.register()
+    assert dict(rows(spark.table("silver.sliced"))) == got
+    assert dict(rows(table.read(0)))[1] == "a"
+    assert table.vacuum(keep=1) == [0]
+    assert dict(rows(table.read())) == got  # untouched slices still lie in the first folder
+    table.update(lambda now: now.limit(0))
+    assert table.read().count() == 0
+    table.register()
+    assert spark.table("silver.sliced").count() == 0

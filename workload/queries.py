@@ -167,6 +167,20 @@ def cdc_merge_two_batches(spark, sf):
     return portable(orders.read())
 
 
+@query
+def cdc_sliced_table(spark, sf):
+    """Two batches in a row on a table in slices by its key: each writes the slices it touches."""
+    orders = Lakehouse(spark, scratch_dir(spark, "sliced")).sliced("silver.stg_orders", ORDERS.key, 16)
+    orders.overwrite(_staged_orders(spark, sf))
+    for raw, at in ((b.raw_batch_1, b.BATCH_1), (b.raw_batch_2, b.BATCH_2)):
+        changes = raw(spark, sf)
+        orders.merge(
+            changes.select(ORDERS.key),
+            lambda t, c=changes, a=at: staged_changes(t, c, ORDERS, a, ("_cdc_seq",)),
+        )
+    return portable(orders.read())
+
+
 @query
 def cdc_bucketed_table(spark, sf):
     """The first batch on a table bucketed by its key: only the batch is shuffled."""
