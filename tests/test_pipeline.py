@@ -73,10 +73,10 @@ def bronze(tmp_path):
     return folder
 
 
-def add_changes(bronze):
+def add_changes(bronze, name="batch.csv"):
     for entity, lines in CHANGES.items():
         header = ",".join([*entity.columns, "_cdc_op"])
-        write_file(bronze / entity.name / "cdc", "batch.csv", header, *lines)
+        write_file(bronze / entity.name / "cdc", name, header, *lines)
 
 
 def gold(lake):
@@ -103,7 +103,6 @@ def test_three_runs_over_the_sample(spark, tmp_path, bronze):
         ("US", "gold", 2, 2, 0, 2, None, 29.99, None, None),
     ]
 
-    add_changes(bronze)
     after = [
         ("BR", "platinum", 1, 1, 1, 1, 599.70, None, None, 599.70),
         ("PT", "silver", 3, 1, 0, 1, None, 59.98, None, None),
@@ -111,6 +110,7 @@ def test_three_runs_over_the_sample(spark, tmp_path, bronze):
     ]
     seen = []
     for at in RUNS[1:]:
+        add_changes(bronze, f"batch_{at.day}.csv")  # the same changes arrive again
         build(lake, str(bronze), at)
         assert counts(lake) == [4, 5, 5, 6]
         assert gold(lake) == after
