@@ -30,7 +30,7 @@ EDITS = 0.15
 #: Items with fewer words name no passage and are not searched.
 LEAST_WORDS = 8
 #: Items are searched in blocks of about so many bytes of text.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 _U = np.uint64
 
 _PLAIN = np.zeros(256, bool)
