@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class Files:
@@ -323,19 +324,21 @@ class HistoryTable(Table):
     def read(self, version: int | None = None) -> DataFrame:
         """The folders of the wanted rounds only, by their paths; older ones are not listed."""
         entry = self.commit(version)
-        reader = self.spark.read.schema(entry["schema"])
-        paths = []
+        last = entry["rounds"][-1]
+        stored = T.StructType([f for f in _fields(entry["schema"]) if f.name != "is_current"])
+        closed = []
         for v, writer in entry["rounds"]:
             folder = self._folder(v, writer)
-            for part in self._files.names(folder):
-                if part == "is_current=false" or (part == "is_current=true" and v == entry["version"]):
-                    paths.append(f"{folder}/{part}")
-        if not paths:
+            if "is_current=false" in self._files.names(folder):
+                closed.append(f"{folder}/is_current=false")
+        current = f"{self._folder(*last)}/is_current=true"
+        parts = []
+        for paths, flag in (([current] if self._files.exists(current) else [], True), (closed, False)):
+            if paths:
+                rows = self.spark.read.schema(stored).parquet(*paths)
+                parts.append(rows.withColumn("is_current", F.lit(flag)).select(*_names(entry["schema"])))
+        if not parts:
             return self.spark.createDataFrame([], entry["schema"])
-        parts = [
-            reader.option("basePath", path.rsplit("/", 1)[0]).parquet(path).select(*_names(entry["schema"]))
-            for path in paths
-        ]
         return reduce(DataFrame.unionAll, parts)
 
     def open_versions(self, version: int | None = None) -> DataFrame:
@@ -381,10 +384,8 @@ def _new_writer() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def _fields(ddl: str) -> list:
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl).fields
+def _fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
 
 
 def _names(ddl: str) -> list[str]:
