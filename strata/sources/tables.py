@@ -14,7 +14,6 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -324,28 +323,24 @@ class HistoryTable(Table):
     def read(self, version: int | None = None) -> DataFrame:
         """The folders of the wanted rounds only, by their paths; older ones are not listed."""
         entry = self.commit(version)
-        last = entry["rounds"][-1]
-        stored = T.StructType([f for f in _fields(entry["schema"]) if f.name != "is_current"])
-        closed = []
-        for v, writer in entry["rounds"]:
-            folder = self._folder(v, writer)
-            if "is_current=false" in self._files.names(folder):
-                closed.append(f"{folder}/is_current=false")
-        current = f"{self._folder(*last)}/is_current=true"
-        parts = []
-        for paths, flag in (([current] if self._files.exists(current) else [], True), (closed, False)):
-            if paths:
-                rows = self.spark.read.schema(stored).parquet(*paths)
-                parts.append(rows.withColumn("is_current", F.lit(flag)).select(*_names(entry["schema"])))
-        if not parts:
-            return self.spark.createDataFrame([], entry["schema"])
-        return reduce(DataFrame.unionAll, parts)
+        return self._part(entry, True).unionAll(self._part(entry, False))
 
     def open_versions(self, version: int | None = None) -> DataFrame:
-        return self.read(version).filter("is_current")
+        return self._part(self.commit(version), True)
 
     def closed_versions(self, version: int | None = None) -> DataFrame:
-        return self.read(version).filter("not is_current")
+        return self._part(self.commit(version), False)
+
+    def _part(self, entry: dict, current: bool) -> DataFrame:
+        """The open versions of the last round, or the closed ones of all rounds."""
+        rounds = entry["rounds"][-1:] if current else entry["rounds"]
+        paths = [f"{self._folder(v, writer)}/is_current={str(current).lower()}" for v, writer in rounds]
+        paths = [path for path in paths if self._files.exists(path)]
+        if not paths:
+            return self.spark.createDataFrame([], entry["schema"])
+        stored = T.StructType([f for f in _fields(entry["schema"]) if f.name != "is_current"])
+        rows = self.spark.read.schema(stored).parquet(*paths)
+        return rows.withColumn("is_current", F.lit(current)).select(*_names(entry["schema"]))
 
     def _write_round(self, rows: DataFrame, rounds: list, batch: int | None) -> int:
         version, writer = self._next(), _new_writer()
