@@ -5,10 +5,11 @@ the lowest value that falls into each; an empty bin copies from bins chosen by h
 and the attempt, the same for every text (optimal densification).  Bands of bins are buckets.
 
 Texts with the same set are one class from the start, by a 128-bit digest, so copies never meet in a
-bucket.  In a bucket each class is paired with one centre, never with all others, and pairs are confirmed on
-the full sets.  A star can miss a link between two members that both fail against its centre, so buckets whose
-members are still in several components get a new centre each round, until two rounds in a row link nothing.
-A round's pairs are no more than the entries of open buckets.
+bucket.  In a bucket the classes are paired with centres: one in the first round, ``GROWTH`` times as many in
+each later one.  A star can miss a link between two members that both fail against its centre, so this goes on until
+every bucket is of one component or has had all its members as centres: no pair that shares a bucket goes untested
+unless both are known to be of one component anyway.  Pairs are confirmed on the full sets.  After the first round
+only pairs come to that whose bitmaps allow the threshold; the bound is exact, so it drops no link.
 """
 
 from __future__ import annotations
@@ -26,8 +27,13 @@ from strata.llm.words import Words, chunks, mix, windows
 BINS = 192
 #: Chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
-#: So many rounds without a new link end the search.
-QUIET = 2
+#: A bucket has at most so many times the centres of the round before, and never more than ``CENTRES``.
+GROWTH = 8
+CENTRES = 4096
+#: So many members of a bucket meet its centres in one task.
+SLICE = 256
+#: Words of 64 bits in the bitmap of a set.
+BITMAP = 16
 _U = np.uint64
 
 
@@ -70,6 +76,18 @@ class Sets:
             out.append(mix((total[self.first[1:]] - total[self.first[:-1]]) ^ mix(self.sizes.astype(_U))))
         return out[0], out[1]
 
+    def bits(self) -> tuple[np.ndarray, np.ndarray]:
+        """A bitmap of each set, and by how much the set outnumbers its bits.
+
+        Two sets share at most the bits they share and the lesser of these excesses: a bit of one set only
+        stands for an element of that set only.
+        """
+        h = mix(self.values ^ _U(0x4CF5AD432745937F))
+        place = self.owner * BITMAP + (h >> _U(32)).astype(np.int64) % BITMAP
+        out = np.zeros((len(self.sizes), BITMAP), _U)
+        np.bitwise_or.at(out.reshape(-1), place, _U(1) << (h & _U(63)))
+        return out, self.sizes - np.bitwise_count(out).sum(axis=1, dtype=np.int64)
+
     def signatures(self, bins: int) -> np.ndarray:
         """One row of bins per non-empty set, densified."""
         filled = np.flatnonzero(self.sizes)
@@ -124,17 +142,23 @@ def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             sets = Sets(batch.column("text"), shingle)
+            bits, slack = sets.bits()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("class"),
                     pa.ListArray.from_arrays(sets.first.astype(np.int32), pa.array(sets.values.view(np.int64))),
+                    pa.array(slack),
+                    *[pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(BITMAP)],
                 ],
-                names=["class", "shingles"],
+                names=["class", "shingles", "slack", *_BITS],
             )
 
     return run
 
 
+_BITS = [f"w{k}" for k in range(BITMAP)]
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -162,16 +186,19 @@ def near_duplicates(
     classes = _stored(
         known.groupBy("a", "b").agg(F.min("id").alias("class"), F.first("n_shingles").alias("size")), "classes"
     )
+    several = known.groupBy("id").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi")
+    several = _stored(several.select("id", F.lit(True).alias("several")), "several")
     own = known.join(
         classes.select("a", "b", F.col("class").alias("id"), F.col("size")), ["a", "b", "id"], "left_semi"
     )
-    entries = own.select("id", F.col("n_shingles").alias("size"), F.explode("buckets").alias("bucket"))
+    # No bound holds for an id of several sets, as any of them may make a link: it has no size and no bitmap.
+    own = own.join(several, "id", "left").withColumn("size", F.when(F.col("several").isNull(), F.col("n_shingles")))
+    entries = own.select("id", "size", F.explode("buckets").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     crowded = crowded.where("lo <> hi").select("bucket")
     entries = _stored(entries.join(crowded, "bucket").select("bucket", F.col("id").alias("node"), "size"), "buckets")
 
     # An id with rows of different sets links their classes.
-    several = known.groupBy("id").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi").select("id")
     links = (
         known.join(several, "id", "left_semi")
         .join(classes, ["a", "b"])
@@ -182,41 +209,68 @@ def near_duplicates(
         texts.join(waiting, texts["id"] == waiting["class"], "left_semi")
         .select(F.col("id").alias("class"), "text")
         .distinct()
-        .mapInArrow(_sets(shingle), "class long, shingles array<long>"),
+        .mapInArrow(
+            _sets(shingle), "class long, shingles array<long>, slack long, " + ", ".join(f"{w} long" for w in _BITS)
+        ),
         "sets",
     )
     # The first centre of a bucket is the member that meets most others over all its buckets: in a group of copies
-    # of one text, that text.  Later centres come in an order by hash, a new one each round.
-    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n"))
-    degrees = entries.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("degree"))
+    # of one text, that text.
+    counts = entries.groupBy("bucket").agg(F.count("*").alias("n"))
+    degrees = entries.join(counts, "bucket").groupBy("node").agg(F.sum("n").alias("degree"))
     open_ = _stored(entries.join(degrees, "node"), "open")
+    similar = (
+        "component <> own and (size is null or centre_size is null"
+        f" or 100 * least(size, centre_size) >= {percent} * greatest(size, centre_size))"
+    )
+    shared = " + ".join(f"bit_count({w} & c{w})" for w in _BITS)
+    # The set join asks for 100 * common >= percent * union; this is the same of the most that can be common.
+    allowed = f"{100 + percent} * ({shared} + least(slack, centre_slack)) >= {percent} * (size + centre_size)"
+    allowed = f"coalesce({allowed}, true)"
     labels = tested = None
-    number = quiet = 0
-    while quiet < QUIET:
+    number = 0
+    while True:
         state = open_.withColumn("component", F.col("node"))
         if labels is not None:
             state = open_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        order = -F.col("degree") if number == 0 else F.xxhash64("node", F.lit(number))
-        centres = (
-            state.groupBy("bucket")
-            .agg(
-                F.min("component").alias("lo"),
-                F.max("component").alias("hi"),
-                F.min(F.struct(order.alias("order"), "node", "component", "size")).alias("c"),
+        split = state.groupBy("bucket").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")
+        )
+        split = split.where("lo <> hi").select("bucket", F.ceil(F.col("n") / SLICE).alias("parts"))
+        state = _stored(
+            state.join(split, "bucket").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), "parts")), "stars"
+        )
+        if state.isEmpty():
+            break
+        if number == 0:
+            centres = state.groupBy("bucket").agg(
+                F.min(F.struct((-F.col("degree")).alias("order"), "node", "component", "size", "parts")).alias("c")
+            )
+        else:
+            # Of the smallest component first, as everything else in the bucket must be tested against it.
+            least = state.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+            each = min(GROWTH**number, CENTRES)
+            centres = (
+                state.join(least, ["bucket", "component"])
+                .groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(number)), F.lit(each)).alias("slice"))
+                .agg(F.min(F.struct("n", "node", "component", "size", "parts", "slack", *_BITS)).alias("c"))
             )
-            .where("lo <> hi")
-            .select(
+        bits = [] if number == 0 else [F.col("c.slack").alias("centre_slack"), *[F.col(f"c.{w}").alias(f"c{w}") for w in _BITS]]
+        centres = _stored(
+            centres.select(
                 "bucket",
                 F.col("c.node").alias("centre"),
                 F.col("c.component").alias("own"),
                 F.col("c.size").alias("centre_size"),
-            )
+                F.col("c.parts").alias("parts"),
+                *bits,
+            ),
+            "centres",
         )
-        state = _stored(state.join(centres, "bucket"), "stars")
+        everywhere = centres.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         pairs = (
-            state.where(
-                f"component <> own and 100 * least(size, centre_size) >= {percent} * greatest(size, centre_size)"
-            )
+            state.join(everywhere, ["bucket", "part"])
+            .where(similar if number == 0 else f"{similar} and {allowed}")
             .select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"))
             .distinct()
         )
@@ -225,22 +279,23 @@ def near_duplicates(
         pairs = _stored(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         common = F.size(F.array_intersect("x", "y"))
+        full = sets.select("class", "shingles")
         confirmed = (
-            pairs.join(sets.withColumnsRenamed({"class": "u", "shingles": "x"}), "u")
-            .join(sets.withColumnsRenamed({"class": "v", "shingles": "y"}), "v")
+            pairs.join(full.withColumnsRenamed({"class": "u", "shingles": "x"}), "u")
+            .join(full.withColumnsRenamed({"class": "v", "shingles": "y"}), "v")
             .where(100 * common >= percent * (F.size("x") + F.size("y") - common))
         )
         fresh = _stored(confirmed.select(F.col("u").alias("a"), F.col("v").alias("b")), "confirmed")
-        if fresh.isEmpty():
-            quiet += 1
-        else:
-            quiet = 0
+        if not fresh.isEmpty():
             links = links.union(fresh)
             labels = _stored(components(links), "labels")
-        open_ = state.where("node <> centre").select("bucket", "node", "size", "degree")
+        done = centres.select("bucket", F.col("centre").alias("node"))
+        open_ = state.join(done, ["bucket", "node"], "left_anti").drop("component", "parts", "part")
+        if number == 0:
+            bitmaps = sets.join(several, sets["class"] == several["id"], "left_anti")
+            bitmaps = bitmaps.select(F.col("class").alias("node"), "slack", *_BITS).distinct()
+            open_ = open_.drop("degree").join(bitmaps, "node", "left")
         number += 1
-        if state.isEmpty():
-            break
     if labels is None:
         labels = components(links)
     # A component's smallest node is a class or an id that stands for one, so its smallest id.

@@ -102,6 +102,30 @@ def test_copies_link_through_a_hub_that_is_not_the_smallest(spark):
     assert as_rows(near_duplicates(docs(spark, rows, False), 3, 85)) == sorted(map(repr, want))
 
 
+def test_links_inside_a_template_family_are_found(spark):
+    """Texts of one template that all just miss each other, and a few pairs among them that do not."""
+    core, rows = prose(11, 440, 100_000), []
+    for k in range(160):
+        rows.append((k, f"{core} {prose(1000 + k, 60, 100_000)}"))
+    for k in range(0, 80, 8):
+        own = rows[k][1].split()[440:448]
+        rows.append((200 + k, " ".join([core, *own, prose(2000 + k, 52, 100_000)])))
+    want = expected_components(rows, 5, 80)
+    assert sum(not kept for _, _, _, kept in want) == 10
+    assert as_rows(near_duplicates(docs(spark, rows, False))) == sorted(map(repr, want))
+
+
+def test_the_bound_of_a_pair_is_never_below_what_it_shares():
+    texts = [prose(1, n, 300) for n in (5, 40, 300, 3000)] + [edited(prose(1, 300, 300), k, k) for k in range(0, 60, 6)]
+    s = Sets(pa.array(texts), 3)
+    bits, slack = s.bits()
+    sets = [set(s.values[a:b].tolist()) for a, b in zip(s.first[:-1], s.first[1:])]
+    for k, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            both = sum(int(x & y).bit_count() for x, y in zip(bits[k].tolist(), bits[j].tolist()))
+            assert len(a & b) <= both + min(slack[k], slack[j])
+
+
 def test_ids_that_share_rows_are_one_document(spark):
     a, b = prose(3, 80), prose(4, 80)
     rows = [(5, a), (5, b), (9, edited(b, 1, 1)), (12, a)]
