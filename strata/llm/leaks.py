@@ -6,7 +6,10 @@ Sequences that differ by few edits fall into step again, so most of what they wr
 is, edit distance becomes Hamming distance.  Each of ``REPEATS`` walks is sampled at ``SAMPLES`` steps; the words
 there are the bucket.  Items are kept in classes by size.  Windows of a document start at every ``stride``-th
 word and every item is walked from each of its first ``stride`` words, so a passage at any place is met by some
-window exactly in line.  Whatever shares a bucket is verified by the exact edit distance of words.
+window exactly in line.  Walks sample the first half of an item only, and with chance; so that no passage is lost, runs of words
+are looked up too: ``k`` edits leave one of the ``k + 1`` stretches between them whole, of at least
+``(n - k) / (k + 1)`` words, and every run of that many words of every item is a key.  Whatever shares a bucket or
+a run is verified by the exact edit distance of words.
 
 Items are few beside documents: blocks of bounded size travel to the tasks, documents never move.
 """
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.words import Words, chunks, mix
+from strata.llm.words import Words, chunks, mix, windows
 
 REPEATS = 12
 SAMPLES = 4
@@ -31,6 +34,10 @@ EDITS = 0.15
 LEAST_WORDS = 8
 #: Items are searched in blocks of about so many bytes of text.
 BLOCK_BYTES = 4 << 20
+#: Runs that are looked up have no more words, and their keys a table of so many bits.
+RUN, TABLE_BITS = 8, 22
+#: Words that are compared at once before the edit distance.
+AT_ONCE = 1 << 21
 _U = np.uint64
 
 _PLAIN = np.zeros(256, bool)
@@ -65,6 +72,17 @@ class SizeClass:
     firsts: list[np.ndarray]  # per walk and sample: a table of the words' low bits that any item has there
 
 
+@dataclass
+class Runs:
+    """All runs of ``length`` words of some items, as sorted keys with (item, place in the item)."""
+
+    length: int
+    keys: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+    table: np.ndarray  # the keys' low bits
+
+
 class Walks:
     """The random bits of every walk over some sequence of words, made when first asked for."""
 
@@ -128,6 +146,35 @@ class Items:
             if len(members):
                 self.classes.append(self._class(members, low))
             low = high
+        # The longest stretch that as many edits as allowed must leave whole.
+        whole = np.clip(-(-(self.sizes - self.limits) // (self.limits + 1)), 1, RUN)
+        self.runs = [self._runs(np.flatnonzero(whole == n), int(n)) for n in np.unique(whole)]
+
+    def _runs(self, members: np.ndarray, length: int) -> Runs:
+        sequence = np.concatenate([self.words[m] for m in members])
+        sizes = self.sizes[members]
+        place = np.arange(len(sequence)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        fits = place + length <= np.repeat(sizes, sizes)
+        keys = windows(sequence, length)[fits]
+        order = np.argsort(keys, kind="stable")
+        table = np.zeros(1 << TABLE_BITS, bool)
+        table[(keys & _U(len(table) - 1)).astype(np.int64)] = True
+        return Runs(length, keys[order], np.repeat(members, sizes)[fits][order], place[fits][order], table)
+
+    def _shared_runs(self, words: Words, values: np.ndarray, doc_of: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (text, item, supposed start) for each run of words that a text shares with an item."""
+        for runs in self.runs:
+            keys = windows(values, runs.length)
+            at = np.flatnonzero(runs.table[(keys & _U(len(runs.table) - 1)).astype(np.int64)] & words.fits(runs.length))
+            lo = np.searchsorted(runs.keys, keys[at], "left")
+            many = np.searchsorted(runs.keys, keys[at], "right") - lo
+            which = np.repeat(at, many)
+            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
+            doc, item, begin = doc_of[which], runs.items[place], which - runs.places[place]
+            # No more of the item than the edits allowed leave out may lie outside the text.
+            inside = begin >= words.first[doc] - self.limits[item]
+            inside &= begin + self.sizes[item] <= words.first[doc + 1] + self.limits[item]
+            yield np.stack([doc, item, begin])[:, inside]
 
     def _class(self, members: np.ndarray, least: int) -> SizeClass:
         stride = max(1, least // 4)
@@ -163,7 +210,7 @@ class Items:
         walks = Walks(np.append(values, _U(0)))
         ends = words.first[1:][doc_of]
         starts_of = [np.flatnonzero(offset % group.stride == 0) for group in self.classes]
-        found = []
+        found = list(self._shared_runs(words, values, doc_of))
         for r in range(self.repeats):
             for group, starts in zip(self.classes, starts_of):
                 left, keys = walks.keys(starts, ends[starts], group.steps[r], r, group.firsts[r])
@@ -182,7 +229,9 @@ class Items:
         at = ((doc * len(self.ids) + item) << 1) * (len(values) + 1) + begin + len(values) // 2
         _, first = np.unique(at, return_index=True)
         rows = np.stack([doc[first], item[first], begin[first]], axis=1)
-        return rows[self._enough(words, values, rows)]
+        step = max(1, AT_ONCE // int((self.sizes + 2 * self.limits).max()))
+        good = [self._enough(words, values, rows[k : k + step]) for k in range(0, len(rows), step)]
+        return rows[np.concatenate(good)] if good else rows
 
     def _enough(self, words: Words, values: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Whether as many words near a supposed start are the item's as the edits allowed leave of it.

@@ -1,6 +1,7 @@
 """Benchmark passages and nearest vectors against brute force."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import oracle as sql
 from strata.llm import queries
-from strata.llm.leaks import LEAST_WORDS, Items, find_leaks, symbols
+from strata.llm.leaks import EDITS, LEAST_WORDS, REPEATS, Items, _search, find_leaks, symbols
 from strata.llm.topk import top_k
 
 
@@ -73,6 +74,25 @@ def test_planted_passages_are_found_and_nothing_else(spark, items):
         assert r["distance"] == distance(own, plain[r["start"] : r["end"]])
 
 
+@pytest.mark.parametrize("part", [(0, 1), (0, 0.5), (0.5, 1)])
+@pytest.mark.parametrize("size", [8, 15, 40, 55, 100, 200, 300, 500])
+def test_every_passage_within_the_edit_limit_is_found(size, part):
+    """As many edits as allowed, over the whole item or one half of it only."""
+    rng = random.Random(size)
+    texts = [prose(9000 + k, size, 3000) for k in range(20)]
+    rows = []
+    for k, text in enumerate(texts):
+        w = text.split()
+        low, high = int(part[0] * size), int(part[1] * size)
+        w[low:high] = edit(w[low:high], int(0.15 * size), rng)
+        around = prose(k, 200, 3000).split()
+        rows.append(" ".join(around[:101] + w + around[101:]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(rows)], names=["id", "text"])
+    search = _search(SimpleNamespace(value=(list(range(20)), texts)), REPEATS, EDITS)
+    found = {(r["id"], r["item"]) for out in search(iter([batch])) for r in out.to_pylist()}
+    assert found >= {(k, k) for k in range(20)}
+
+
 def test_verification_is_the_edit_distance(items):
     rng = random.Random(9)
     block = Items([i for i, _ in items], [t for _, t in items], 2, 0.15)
