@@ -1,7 +1,8 @@
 """Visible text of web pages, laid out as a reader would see it.
 
 A page becomes a tree: tags that HTML lets an author leave out are implied, stray end tags are ignored, and raw
-text elements end only at their own end tag.  What a browser would not show is left out.  The tree is then laid
+text elements end only at their own end tag.  What a browser would not show is left out; formulas stand as the text
+of their signs, without annotations, and of drawings the labels are taken.  The tree is then laid
 out: block elements stand on lines of their own, those with a margin between blank lines, lists have markers and
 indents, preformatted text keeps its white space and the cells of a table line up in columns.
 """
@@ -9,6 +10,7 @@ indents, preformatted text keeps its white space and the cells of a table line u
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
 
@@ -22,7 +24,8 @@ from strata.llm.words import chunks
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
 UNSEEN = frozenset(
-    "head script style title template noscript iframe noembed noframes datalist object audio video canvas svg math".split()
+    "head script style title template noscript iframe noembed noframes datalist object audio video canvas"
+    " annotation annotation-xml mphantom".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre xmp dl figure hr fieldset table menu ul ol details".split())
 BLOCK = SPACED | frozenset(
@@ -48,7 +51,16 @@ IMPLIED_END = {
 SCOPE = frozenset("html table td th caption template".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEAD_PARTS = frozenset("title base link meta style script noscript template head html".split())
-#: Elements nested deeper than this become children of the one at that depth.
+FOREIGN = frozenset(["svg", "math"])
+# Elements that hold HTML inside a formula or a drawing, and those that end the formula or drawing elsewhere.
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta"
+    " nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Parts of a drawing that are not drawn where they stand.
+UNDRAWN = frozenset("defs symbol clippath mask marker pattern metadata desc lineargradient radialgradient filter".split())
+#: Pages with elements nested deeper than this are laid out with a higher recursion limit.
 DEPTH = 200
 
 _TOKEN = re.compile(
@@ -87,6 +99,8 @@ class Builder:
         self.root = Node("html", {})
         self.open = [self.root]
         self.head: Node | None = None
+        self.deepest = 1
+        self.foreign = False  # whether a formula or drawing has begun
 
     def close(self, ends: frozenset, beyond: frozenset) -> None:
         """End the open elements of ``ends`` that stand before any of ``beyond``, with all inside them."""
@@ -96,13 +110,21 @@ class Builder:
                 return
             if tag in ends:
                 del self.open[k:]
-                return self.close(ends, beyond)
 
     def push(self, tag: str, attributes: dict[str, str]) -> None:
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
-        if len(self.open) < DEPTH:
-            self.open.append(node)
+        self.open.append(node)
+        self.deepest = max(self.deepest, len(self.open))
+
+    def leave_foreign(self) -> None:
+        """End the formula or drawing that is open, unless HTML may stand here."""
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k].tag in HOLDS_HTML:
+                return
+            if self.open[k].tag in FOREIGN:
+                del self.open[k:]
+                return
 
     def start(self, tag: str, text: str) -> None:
         if tag in ("html", "body", "head"):
@@ -116,6 +138,9 @@ class Builder:
             return
         if self.open[-1].tag == "head" and tag not in HEAD_PARTS:
             self.open.pop()
+        if self.foreign and tag in BREAKOUT:
+            self.leave_foreign()
+        self.foreign |= tag in FOREIGN
         if tag in CLOSES_P:
             self.close(frozenset(["p"]), SCOPE | {"button"})
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
@@ -126,7 +151,8 @@ class Builder:
             if tag in ("td", "th") and here in ("table", "thead", "tbody", "tfoot"):
                 self.push("tr", {})
         found = attributes(text)
-        if tag in VOID:
+        empty = self.foreign and text.endswith("/") and (tag in FOREIGN or any(n.tag in FOREIGN for n in self.open))
+        if tag in VOID or empty:
             self.open[-1].children.append(Node(tag, found))
         else:
             self.push(tag, found)
@@ -160,8 +186,8 @@ class Builder:
             self.open[-1].children.append(text)
 
 
-def parse(html: str) -> Node:
-    """The tree of a page."""
+def parse(html: str) -> tuple[Node, int]:
+    """The tree of a page, and how deep its elements are nested."""
     builder, at, n = Builder(), 0, len(html)
     search = _TOKEN.search
     while at < n:
@@ -189,7 +215,7 @@ def parse(html: str) -> Node:
                 raw = html[at:end]
                 builder.open[-1].children.append(raw if tag in ("xmp", "plaintext") else unescape(raw))
             at = end
-    return builder.root
+    return builder.root, builder.deepest
 
 
 def unseen(node: Node) -> bool:
@@ -286,6 +312,8 @@ def lay_out(node: Node, out: Layout, kept: bool = False, depth: int = 0) -> None
         elif tag == "input":
             if child.attributes.get("type", "").lower() in ("submit", "button", "reset") and child.attributes.get("value"):
                 out.add(f" {child.attributes['value']} ")
+        elif tag == "svg":
+            _labels(child, out, depth)
         elif tag in ("ul", "ol", "menu", "dir"):
             _list(child, out, depth)
         elif tag == "table":
@@ -313,6 +341,19 @@ def lay_out(node: Node, out: Layout, kept: bool = False, depth: int = 0) -> None
             lay_out(child, out, kept or tag in ("textarea", "plaintext"), depth)
 
 
+def _labels(node: Node, out: Layout, depth: int) -> None:
+    """The labels of a drawing, with spaces between them."""
+    for child in node.children:
+        if isinstance(child, str) or unseen(child) or child.tag in UNDRAWN:
+            continue
+        if child.tag in ("text", "foreignobject"):
+            out.add(" ")
+            lay_out(child, out, False, depth)
+            out.add(" ")
+        else:
+            _labels(child, out, depth)
+
+
 def _list(node: Node, out: Layout, depth: int) -> None:
     """Items with bullets or numbers; a nested list keeps to its item, without blank lines."""
     (out.end_line if depth else out.gap)()
@@ -434,8 +475,16 @@ def visible_text(html: str | None) -> str:
     """The visible text of a page; a null or empty page has none."""
     if not html:
         return ""
-    root = parse(html)
-    return "" if unseen(root) else "\n".join(page_lines(root))
+    root, deepest = parse(html)
+    if unseen(root):
+        return ""
+    limit = sys.getrecursionlimit()
+    try:
+        if deepest > DEPTH:
+            sys.setrecursionlimit(limit + 8 * deepest)
+        return "\n".join(page_lines(root))
+    finally:
+        sys.setrecursionlimit(limit)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -443,7 +492,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     A null or empty page has an empty text, no characters and no lines.  Text without any tag is itself, its white
     space made single spaces.  Repeated rows are laid out each; other columns are not read; an empty table
-    gives no rows.  Elements nested deeper than ``DEPTH`` are taken as children of the one there, their text kept.
+    gives no rows.  Elements count at any depth.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

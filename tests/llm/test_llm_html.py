@@ -64,6 +64,25 @@ def test_deep_and_long_pages():
     assert visible_text("<" * 50_000).count("<") == 50_000
 
 
+@pytest.mark.parametrize("deep", ["<div>", "<span>", "<b><i>"])
+def test_elements_count_at_any_depth(deep):
+    deep = deep * (2 * DEPTH)
+    assert visible_text(f"{deep}a<div hidden>b</div><template>c</template><details>d</details>") == "a"
+    assert visible_text(f"{deep}<table><tr><td>a<td>b</table>") == "a | b"
+    assert visible_text(f"{deep}<ul><li>a<li>b</ul>") == "- a\n- b"
+    inside = "<div>" * (2 * DEPTH) + "a" + "</div>" * (2 * DEPTH)
+    assert visible_text(f"<div hidden>{inside}b</div>c") == "c"
+    assert visible_text("<div>" * 20_000 + "x") == "x"
+
+
+def test_formulas_and_labels_are_text():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></mrow><annotation>x=2 TeX</annotation></semantics></math>"
+    assert visible_text(f"so {formula} holds") == "so x=2 holds"
+    drawing = "<svg><title>t</title><defs><text>no</text></defs><clipPath/><path d='M0'/><text>A<tspan>1</tspan></text><g><text>B</text></g></svg>"
+    assert visible_text(f"see {drawing}there") == "see A1 B there"
+    assert visible_text("<svg><g><p>a<p>b") == "a\n\nb"
+
+
 def test_extract_on_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "<p>a<p>b"), (3, "<p>a<p>b"), (None, "x")]
     df = spark.createDataFrame(rows, "page_id long, html string").withColumn("text", F.lit("own")).withColumn("id", F.lit(0))
