@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bytepairs import byte_digests
 from strata.llm.classify import classify, train
 from strata.llm.html import extract_text
 from strata.llm.leaks import find_leaks
@@ -81,6 +82,11 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's ids under the byte-level ranks, and the bytes they decode to."""
+    return byte_digests(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
@@ -92,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_byte_bpe": op13_byte_bpe,
 }

@@ -63,6 +63,11 @@ def _ranges(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray)
     return (total[ends] - total[starts]) * _power(_inverse(base), len(values) + 1)[starts]
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A hash of each range of bytes."""
+    return mix(_ranges(_BYTE_VALUES[which][data], BYTE_BASES[which], starts, ends))
+
+
 class Words:
     """The words of some texts: ``first[d] .. first[d + 1]`` are those of text ``d``."""
 
@@ -93,8 +98,7 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        values = _BYTE_VALUES[which][self.data]
-        return mix(_ranges(values, BYTE_BASES[which], self.starts, self.ends))
+        return byte_hashes(self.data, self.starts, self.ends, which)
 
     def fits(self, length: int) -> np.ndarray:
         """Whether ``length`` words from each word on are of one text."""
