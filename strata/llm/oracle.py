@@ -40,4 +40,45 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM d LEFT JOIN totals USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op8_top_k": OP8, "op10_substring_dedup": OP10}
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT lang, source, r, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM t GROUP BY lang, source, term
+), k AS (
+  SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 30
+), l AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang
+), o AS (
+  SELECT c.lang, c.source, sum(c.n) AS total FROM c JOIN k USING (lang, term) GROUP BY c.lang, c.source
+), g AS (
+  SELECT d.lang, d.source, coalesce(any_value(o.total), 0) AS total
+  FROM d LEFT JOIN o USING (lang, source) GROUP BY d.lang, d.source
+), s AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(apart.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM s WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, part, item, value::BIGINT AS value,
+    row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM f
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op8_top_k": OP8, "op10_substring_dedup": OP10, "op12_source_divergence": OP12}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.bytepairs import byte_digests
 from strata.llm.classify import classify, train
+from strata.llm.divergence import divergence
 from strata.llm.html import extract_text
 from strata.llm.leaks import find_leaks
 from strata.llm.neardup import near_duplicates
@@ -82,6 +83,11 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that mark each source."""
+    return divergence(table(spark, sf, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's ids under the byte-level ranks, and the bytes they decode to."""
     return byte_digests(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -98,5 +104,6 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_source_divergence": op12_source_divergence,
     "op13_byte_bpe": op13_byte_bpe,
 }
