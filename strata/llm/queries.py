@@ -14,6 +14,7 @@ from strata.llm.divergence import divergence
 from strata.llm.html import extract_text
 from strata.llm.leaks import find_leaks
 from strata.llm.neardup import near_duplicates
+from strata.llm.negatives import hard_negatives
 from strata.llm.pieces import piece_digests
 from strata.llm.substrings import remove_repeats
 from strata.llm.tokenfiles import token_digests, write_token_files
@@ -83,6 +84,13 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """For every hundredth vector and its five nearest of its label, ten near rows of other labels."""
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 100 == 0)
+
+
 def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     """Distances between the sources of each language, and the terms that mark each source."""
     return divergence(table(spark, sf, "documents"))
@@ -104,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_source_divergence": op12_source_divergence,
     "op13_byte_bpe": op13_byte_bpe,
 }
