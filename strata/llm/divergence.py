@@ -183,7 +183,9 @@ def _distances(key, terms: pa.Table, groups: pa.Table) -> pa.Table:
     left, right = (key[k].as_py() for k in (2, 3))
     encoded = terms.column("term").combine_chunks().dictionary_encode()
     column, width = np.asarray(encoded.indices, np.int64), len(encoded.dictionary)
-    shares = np.repeat(np.asarray(groups.column("none"))[:, None], width, axis=1)
+    none = np.asarray(groups.column("none"))
+    absent = int(groups.column("kept")[0].as_py()) - width  # terms of the slice that no source of the tile has
+    shares = np.repeat(none[:, None], width, axis=1)
     row = np.array([place[s] for s in terms.column("source").to_pylist()], np.int64)
     shares[row, column] = np.asarray(terms.column("share"))
     a, b, value = [], [], []
@@ -192,7 +194,7 @@ def _distances(key, terms: pa.Table, groups: pa.Table) -> pa.Table:
         others = rights if left != right else rights[rights > k]
         a += [names[k]] * len(others)
         b += [names[x] for x in others]
-        value.append(np.abs(shares[others] - shares[k]).sum(axis=1, dtype=np.int64))
+        value.append(np.abs(shares[others] - shares[k]).sum(axis=1, dtype=np.int64) + absent * np.abs(none[others] - none[k]))
     lang = pa.array([key[0].as_py()] * len(a), pa.string())
     values = np.concatenate(value) if value else np.zeros(0, np.int64)
     return pa.table([lang, pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(values)], ["lang", "a", "b", "value"])
@@ -231,8 +233,8 @@ def divergence(
     own = stored(terms.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "kept-terms")
 
     # One row per group; all further tables of groups and languages are as small.
-    langs = own.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
-    langs = langs.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    each = own.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
+    langs = each.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = counts.where("term = ''").select("lang", "source")
     several = groups.groupBy("lang").agg(F.count("*").alias("sources"))
@@ -265,13 +267,16 @@ def divergence(
         return df.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")})
 
     tile = ["lang", "slice", "left", "right"]
-    x = tiled(shares.withColumn("slice", F.pmod(F.xxhash64("term"), slices)))
+    slice_of = F.pmod(F.xxhash64("term"), slices)
+    x = tiled(shares.withColumn("slice", slice_of))
+    kept_in = each.join(langs, "lang").groupBy("lang", slice_of.alias("slice")).agg(F.count("*").alias("kept"))
     y = groups.withColumn("none", F.when(F.col("terms") > 0, F.expr(_share("0", "total", "greatest(terms, 1)"))).otherwise(F.lit(0)))
     y = tiled(y.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))))
+    y = y.join(kept_in, ["lang", "slice"], "left").na.fill(0, ["kept"])
     parts = (
         x.select(*tile, "source", "term", "share")
         .groupBy(*tile)
-        .cogroup(y.select(*tile, "source", "block", "none").groupBy(*tile))
+        .cogroup(y.select(*tile, "source", "block", "none", "kept").groupBy(*tile))
         .applyInArrow(_distances, "lang string, a string, b string, value long")
     )
     once = parts.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
