@@ -73,7 +73,7 @@ def joins(spark: SparkSession, sf: str, repeats: int) -> dict[str, tuple[float,
     b.dimension(spark, sf, 3).read().write.parquet(f"{folder}/versions")
     orders, versions = (spark.read.parquet(f"{folder}/{t}") for t in ("orders", "versions"))
     out = {}
-    for method in ("range", "slots"):
+    for method in ("range", "slots", "sweep"):
 
         def join(method=method):
             run(point_in_time_join(orders, versions, "customer_id", "order_date", ["portfolio_id"], method=method))

@@ -83,3 +83,17 @@ def dense_index(ids: DataFrame, column: str, index: str = "idx") -> DataFrame:
     return numbered.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_pos") + 1).alias(index), column
     )
+
+
+def extend_index(known: DataFrame, ids: DataFrame, column: str, index: str = "idx") -> DataFrame:
+    """``known`` numbers and, after the largest of them, numbers for the values of ``ids`` that have none.
+
+    Numbers once given stay, so that what was stored under them (bitmaps, say) stays true; new values follow in
+    ascending order without a gap.  Nulls are a value like any other.
+    """
+    named = known.select(F.col(column).alias("_known"))
+    fresh = ids.select(column).distinct()
+    fresh = fresh.join(named, F.col(column).eqNullSafe(F.col("_known")), "left_anti")
+    top = known.agg(F.coalesce(F.max(index), F.lit(0)).alias("top")).scalar()
+    added = dense_index(fresh, column, index).withColumn(index, F.col(index) + top)
+    return known.select(index, column).unionByName(added)

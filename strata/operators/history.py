@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import (
@@ -108,6 +108,48 @@ def scd2_step(
     return emitted.filter(F.col(key).isNotNull())
 
 
+def scd2_backlog(
+    open_versions: DataFrame,
+    snapshots: Sequence[tuple[DataFrame, object]],
+    key: str,
+    names: ControlColumns = DEFAULT,
+) -> DataFrame:
+    """What becomes of the open versions after several waiting snapshots, in one pass.
+
+    ``snapshots`` are (open versions of a snapshot, its instant) in order; the outcome is that of a ``scd2_step`` for
+    each.  A version is an island: a key's unbroken run of rounds with one digest, the present open version counting as
+    the round before the first.  It keeps the row it began with and ends at the instant of the round after its last,
+    if there is one.  One shuffle and one sort by key, however many snapshots wait; a key has a row per round.
+    """
+    if not snapshots:
+        return open_versions
+    columns = open_versions.columns
+    # The instants of an empty snapshot and of one without a given time are settled as in a single round.
+    times = [batch_time(versions, ts, names) for versions, ts in snapshots]
+    row = F.struct(*columns).alias("_row")
+    rounds = [open_versions.select(key, F.col(names.hash).alias("_hash"), F.lit(-1).alias("_round"), row)]
+    rounds += [
+        versions.select(key, F.col(names.hash).alias("_hash"), F.lit(n).alias("_round"), row)
+        for n, (versions, _) in enumerate(snapshots)
+    ]
+    rows = rounds[0]
+    for more in rounds[1:]:
+        rows = rows.union(more)
+    rows = rows.filter(F.col(key).isNotNull())
+    by_round = Window.partitionBy(key).orderBy("_round")
+    before, digest = F.lag("_round").over(by_round), F.lag("_hash").over(by_round)
+    goes_on = before.eqNullSafe(F.col("_round") - 1) & digest.eqNullSafe(F.col("_hash"))
+    marked = rows.withColumns(
+        {"_begins": ~goes_on, "_before": before, "_last": F.max("_round").over(Window.partitionBy(key))}
+    )
+    # Of the rows that begin an island: it lasts until the row before the next one.
+    islands = marked.filter("_begins").withColumn("_until", F.coalesce(F.lead("_before").over(by_round), "_last"))
+    final = F.col("_until") == len(snapshots) - 1
+    ends = F.get(F.array(*times), F.col("_until") + 1)
+    changed = {names.valid_to: F.when(~final, ends), names.is_current: final}
+    return islands.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in columns])
+
+
 def scd2_apply(
     dimension: DataFrame,
     versions: DataFrame,

@@ -60,7 +60,16 @@ def stream_csv(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.csv(folder).select(
+    return _with_origin(reader.csv(folder))
+
+
+def read_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Some CSV files with the columns that ``stream_csv`` gives their rows."""
+    return _with_origin(spark.read.options(**_CSV).schema(schema).csv(paths))
+
+
+def _with_origin(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "*",
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         F.col("_metadata.file_modification_time").alias("_source_time"),

@@ -15,9 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.changes import merge_changes
 from strata.operators.conform import conform
-from strata.operators.history import scd2_step
+from strata.operators.history import scd2_backlog, scd2_step
 from strata.schema import ARRIVAL, Entity
-from strata.sources.files import stream_csv
+from strata.sources.files import read_csv_files, stream_csv
 from strata.sources.tables import HistoryTable, Table
 
 
@@ -123,14 +123,14 @@ def apply_snapshot_files(
     batch_ts: Callable[[DataFrame], object] | None = None,
     by_folder: bool = False,
 ) -> StreamingQuery:
-    """Apply full snapshots to a dimension, one per round, in the order they were written.
+    """Apply full snapshots to a dimension in the order they were written, each a round of its own.
 
     A snapshot is one file of ``folder`` or, ``by_folder``, all files of one folder in
     it, which must arrive whole (as a committed write does).  ``to_versions(rows, ts)``
     builds the open versions of a snapshot; ``batch_ts(rows)`` gives the instant it
     counts from, by default when it was last written.  The first snapshot of a new
-    table loads it.  A batch that is delivered again after a failure finds its
-    snapshots applied and changes nothing.
+    table loads it.  All folders that wait are applied in one pass and one write of the table.
+    A batch that is delivered again after a failure finds its snapshots applied and changes nothing.
     """
     if by_folder:
         rows = stream_csv(spark, f"{folder}/*", entity.raw_schema(), None, archive)
@@ -148,12 +148,20 @@ def apply_snapshot_files(
         if not by_folder:
             round_of(batch, batch_id)
             return
-        place = F.regexp_replace(f"{ARRIVAL}.file_path", "/[^/]*$", "")
-        found = batch.groupBy(place.alias("place")).agg(F.max("_source_time").alias("at"))
-        places = [r["place"] for r in found.orderBy("at", "place").collect()]  # one per snapshot
-        for n, one in enumerate(places, 1):
+        path = F.col(f"{ARRIVAL}.file_path")
+        place = F.regexp_replace(path, "/[^/]*$", "")
+        found = batch.groupBy(place.alias("place")).agg(F.max("_source_time").alias("at"), F.collect_set(path).alias("files"))
+        # One row per snapshot.  Each reads its own files, so that no snapshot reads those of all others.
+        found = found.orderBy("at", "place").collect()
+        waiting = [read_csv_files(spark, sorted(r["files"]), entity.raw_schema()) for r in found]
+        if len(waiting) == 1 or not table.exists():
             # The batch counts as seen with its last snapshot.
-            round_of(batch.filter(place == one), batch_id if n == len(places) else table.last_batch())
+            round_of(waiting[0], batch_id if len(waiting) == 1 else None)
+            waiting = waiting[1:]
+        if waiting:
+            times = [moment(snapshot) for snapshot in waiting]
+            rounds = [(to_versions(snapshot, ts), ts) for snapshot, ts in zip(waiting, times)]
+            table.advance(lambda present: scd2_backlog(present, rounds, entity.key), batch=batch_id)
 
     def round_of(snapshot: DataFrame, batch_id: int | None) -> None:
         if not table.exists():

@@ -20,10 +20,12 @@ from strata.operators.changes import (
 )
 from strata.operators.conform import conform, split_rejects
 from strata.operators.dedup import first_per_key
-from strata.operators.hierarchy import dense_index, parent_catalog, propagate_parents
-from strata.operators.history import changed_keys, scd2_apply, scd2_as_of, scd2_current
+from strata.operators.distinct import count_members, distinct_bitmaps, merge_bitmaps
+from strata.operators.hierarchy import dense_index, extend_index, parent_catalog, propagate_parents
+from strata.operators.history import changed_keys, scd2_apply, scd2_as_of, scd2_backlog, scd2_current
 from strata.operators.keyed import patch_rows, resolve_unique
 from strata.operators.rollup import portfolio_revenue
+from strata.operators.rollup_parts import moved_since, revenue_delta
 from strata.plans import adhoc
 from strata.plans.models import (
     portfolio_snapshot,
@@ -31,7 +33,9 @@ from strata.plans.models import (
     staged_changes,
 )
 from strata.plans.pipeline import build
+from strata.plans.revenue import RevenueLedger
 from strata.schema import (
+    ARRIVAL,
     CLIENT_SEGMENTS,
     CLIENTS,
     INVENTORY,
@@ -88,6 +92,46 @@ def gold_after_changes(spark, sf):
     return portable(portfolio_revenue(orders, b.dimension(spark, sf, 3).read()))
 
 
+@query
+def gold_incremental(spark, sf):
+    """Two change batches and a dimension round, each brought into gold by what it changed."""
+    folder = scratch_dir(spark, "ledger")
+
+    def stored(rows, name):
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    ledger = RevenueLedger(spark, folder)
+    orders = stored(_staged_orders(spark, sf), "orders-0")
+    first = stored(portfolio_versions(b.raw_snapshot(spark, sf)), "dimension-0")
+    ledger.load(orders, first)
+    for n, (raw, at) in enumerate(((b.raw_batch_1, b.BATCH_1), (b.raw_batch_2, b.BATCH_2)), 1):
+        changes = raw(spark, sf)
+        after = stored(staged_changes(orders, changes, ORDERS, at, ("_cdc_seq",)), f"orders-{n}")
+        keys = changes.select(F.col("order_id").cast("bigint").alias("order_id"))
+        ledger.apply(n, revenue_delta(orders, after, first, keys=keys))
+        orders = after
+    at = b.SNAPSHOT_TIMES[1]
+    second = stored(scd2_apply(first, portfolio_versions(b.raw_snapshot(spark, sf, 1), at), "customer_id"), "dimension-1")
+    ledger.apply(3, revenue_delta(orders, orders, first, second, moved=moved_since(second, at)))
+    return portable(ledger.read())
+
+
+@query
+def active_customers(spark, sf):
+    """Distinct customers of each tier by month, and by year from the months' bitmaps alone."""
+    folder = scratch_dir(spark, "bitmaps")
+    facts = _orders(spark, sf).select("order_id", "customer_id", "order_date")
+    owned = point_in_time_join(facts, b.dimension(spark, sf, 3).read(), "customer_id", "order_date", ("tier",))
+    numbered = owned.join(dense_index(owned, "customer_id"), "customer_id")
+    months = distinct_bitmaps(numbered, ["tier", month_of("order_date").alias("period")], "idx")
+    months.write.parquet(folder)
+    months = spark.read.parquet(folder)
+    years = merge_bitmaps(months, ["tier", F.trunc("period", "year").alias("period")])
+    both = months.withColumn("span", F.lit("month")).unionByName(years.withColumn("span", F.lit("year")))
+    return portable(count_members(both, ["span", "tier", "period"], "active_customers"))
+
+
 # -- staged tables -------------------------------------------------------
 @query
 def stg_orders_baseline(spark, sf):
@@ -265,6 +309,17 @@ def dim_after_snap3(spark, sf):
     return portable(b.dimension(spark, sf, 3).read())
 
 
+@query
+def dim_backlog(spark, sf):
+    """Three waiting snapshots applied to the first load in one pass."""
+    customers = b.customers_by_region(spark, sf)
+    first = portfolio_versions(b.raw_snapshot(spark, sf, 0, customers))
+    waiting = [
+        (portfolio_versions(b.raw_snapshot(spark, sf, n, customers), at), at) for n, at in b.SNAPSHOT_TIMES.items()
+    ]
+    return portable(scd2_backlog(first, waiting, "customer_id"))
+
+
 @query
 def dim_current(spark, sf):
     return portable(scd2_current(b.dimension(spark, sf, 3).read()))
@@ -308,6 +363,11 @@ def pit_orders_slots(spark, sf):
     return _pit(spark, sf, "slots")
 
 
+@query
+def pit_orders_sweep(spark, sf):
+    return _pit(spark, sf, "sweep")
+
+
 @query
 def pit_orders_salted(spark, sf):
     return _pit(spark, sf, "salted")
@@ -393,6 +453,20 @@ def dense_ids(spark, sf):
     return dense_index(table(spark, sf, "orders"), "o_custkey")
 
 
+@query
+def stable_ids(spark, sf):
+    """Customers numbered in three rounds as they appear; numbers once given stay."""
+    folder = scratch_dir(spark, "ids")
+    orders = table(spark, sf, "orders")
+    known = None
+    for n, until in enumerate(("1994-01-01", "1996-01-01", "2100-01-01")):
+        seen = orders.filter(F.col("o_orderdate") < F.lit(until).cast("date"))
+        rows = dense_index(seen, "o_custkey") if known is None else extend_index(known, seen, "o_custkey")
+        rows.write.parquet(f"{folder}/{n}")
+        known = spark.read.parquet(f"{folder}/{n}")
+    return known
+
+
 @query
 def reassigned_portfolios(spark, sf):
     """Some customers move to the portfolio at a computed index of the dense list."""
@@ -950,4 +1024,31 @@ def stream_snapshot_files(spark, sf):
     return portable(dim.read())
 
 
+@query
+def stream_snapshot_backlog(spark, sf):
+    """A first snapshot, then three that wait together: taken in with one write of the dimension."""
+    folder = scratch_dir(spark, "stream")
+    dim = Lakehouse(spark, f"{folder}/lake").history("silver.dim_client_portfolio")
+
+    def take_in():
+        apply_snapshot_files(
+            spark,
+            f"{folder}/in",
+            PORTFOLIOS,
+            dim,
+            f"{folder}/checkpoint",
+            portfolio_versions,
+            # Each snapshot's folder is named after its number.
+            batch_ts=lambda rows: b.SNAPSHOT_TIMES[int(rows.select(f"{ARRIVAL}.file_path").first()[0].split("/")[-2])],
+            by_folder=True,
+        ).awaitTermination()
+
+    write_csv(b.raw_snapshot(spark, sf, 0).repartition(3), f"{folder}/in/0")
+    take_in()
+    for n in b.SNAPSHOT_TIMES:
+        write_csv(b.raw_snapshot(spark, sf, n).repartition(3), f"{folder}/in/{n}")
+    take_in()
+    return portable(dim.read())
+
+
 __all__ = ["QUERIES"]
