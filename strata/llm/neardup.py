@@ -5,11 +5,12 @@ the lowest value that falls into each; an empty bin copies from bins chosen by h
 and the attempt, the same for every text (optimal densification).  Bands of bins are buckets.
 
 Texts with the same set are one class from the start, by a 128-bit digest, so copies never meet in a
-bucket.  In a bucket the classes are paired with centres: one in the first round, ``GROWTH`` times as many in
-each later one.  A star can miss a link between two members that both fail against its centre, so this goes on until
-every bucket is of one component or has had all its members as centres: no pair that shares a bucket goes untested
-unless both are known to be of one component anyway.  Pairs are confirmed on the full sets.  After the first round
-only pairs come to that whose bitmaps allow the threshold; the bound is exact, so it drops no link.
+bucket.  In a bucket the classes are paired with centres: one in the first round, then, where it still has several
+components, every member of a bucket of up to ``FEW_MEMBERS``; in larger ones ``GROWTH`` times as many each round.  A
+star can miss a link between two members that both fail against its centre, so this goes on until every bucket is of
+one component or has had all its members as centres: no pair that shares a bucket goes untested unless both are known
+to be of one component anyway.  Pairs come to the full sets only if their bitmaps allow the threshold; the bound is
+exact, so it drops no link.
 """
 
 from __future__ import annotations
@@ -21,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.components import _stored, components
+from strata.llm.components import dealt_join, stored, with_links
 from strata.llm.words import Words, chunks, mix, windows
 
 BINS = 192
 #: Chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
-#: A bucket has at most so many times the centres of the round before, and never more than ``CENTRES``.
+#: Buckets of up to so many members have all of them as centres in the second round.
+FEW_MEMBERS = 512
+#: A larger bucket has at most so many times the centres of the round before, and never more than ``CENTRES``.
 GROWTH = 8
 CENTRES = 4096
 #: So many members of a bucket meet its centres in one task.
@@ -179,136 +182,142 @@ def near_duplicates(
     bands, width = bands_for(percent / 100, bins)
     kind = "id long, n_shingles long, a long, b long, buckets array<long>"
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = _stored(texts.mapInArrow(_sketch(shingle, bands, width), kind), "sketches")
+    number = F.count(F.lit(1))
+    sketch, seen = stored(texts.mapInArrow(_sketch(shingle, bands, width), kind), "sketches", n=number)
+    rows = seen["n"]
     known = sketch.where("n_shingles > 0 and id is not null")
 
     # Classes of equal sets.  Any row can stand for its class, so the buckets of the first id do.
-    classes = _stored(
-        known.groupBy("a", "b").agg(F.min("id").alias("class"), F.first("n_shingles").alias("size")), "classes"
-    )
+    classes = known.groupBy("a", "b").agg(F.min("id").alias("class"), F.count("*").alias("copies"))
+    classes, _ = stored(classes, "classes")
     several = known.groupBy("id").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi")
-    several = _stored(several.select("id", F.lit(True).alias("several")), "several")
-    own = known.join(
-        classes.select("a", "b", F.col("class").alias("id"), F.col("size")), ["a", "b", "id"], "left_semi"
-    )
-    # No bound holds for an id of several sets, as any of them may make a link: it has no size and no bitmap.
-    own = own.join(several, "id", "left").withColumn("size", F.when(F.col("several").isNull(), F.col("n_shingles")))
-    entries = own.select("id", "size", F.explode("buckets").alias("bucket"))
-    crowded = entries.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    crowded = crowded.where("lo <> hi").select("bucket")
-    entries = _stored(entries.join(crowded, "bucket").select("bucket", F.col("id").alias("node"), "size"), "buckets")
+    several, seen = stored(several.select("id", F.lit(True).alias("several")), "several", n=number)
+    shared_ids = seen["n"] > 0
+    own = known.join(classes.select("a", "b", F.col("class").alias("id")), ["a", "b", "id"], "left_semi")
+    if shared_ids:
+        # No bound holds for an id of several sets, as any of them may make a link: it has no size and no bitmap.
+        size = F.when(F.col("several").isNull(), F.col("n_shingles"))
+        own = own.join(several, "id", "left").withColumn("size", size)
+    else:
+        own = own.withColumn("size", F.col("n_shingles"))
+    entries = own.select(F.col("id").alias("node"), "size", F.explode("buckets").alias("bucket"))
+    crowded = entries.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
+    crowded, _ = stored(crowded.where("lo <> hi").select("bucket", "n"), "crowded")
+    entries, _ = stored(dealt_join(entries, crowded, ["bucket"], "node", "n", rows * bands), "buckets")
 
-    # An id with rows of different sets links their classes.
-    links = (
-        known.join(several, "id", "left_semi")
-        .join(classes, ["a", "b"])
-        .select(F.col("id").alias("a"), F.col("class").alias("b"))
-    )
     waiting = entries.select(F.col("node").alias("class")).distinct()
-    sets = _stored(
+    sets = (
         texts.join(waiting, texts["id"] == waiting["class"], "left_semi")
         .select(F.col("id").alias("class"), "text")
         .distinct()
         .mapInArrow(
             _sets(shingle), "class long, shingles array<long>, slack long, " + ", ".join(f"{w} long" for w in _BITS)
-        ),
-        "sets",
+        )
     )
+    sets, _ = stored(sets, "sets")
     # The first centre of a bucket is the member that meets most others over all its buckets: in a group of copies
     # of one text, that text.
-    counts = entries.groupBy("bucket").agg(F.count("*").alias("n"))
-    degrees = entries.join(counts, "bucket").groupBy("node").agg(F.sum("n").alias("degree"))
-    open_ = _stored(entries.join(degrees, "node"), "open")
+    degrees = entries.groupBy("node").agg(F.sum("n").alias("degree"))
+    bitmaps = sets.select(F.col("class").alias("node"), "slack", *_BITS)
+    if shared_ids:
+        bitmaps = bitmaps.join(several.select(F.col("id").alias("node")), "node", "left_anti").distinct()
+    open_, _ = stored(entries.drop("n").join(degrees, "node").join(bitmaps, "node", "left"), "open")
+
+    labels = None
+    if shared_ids:
+        # An id with rows of different sets links their classes.
+        links = known.join(several, "id", "left_semi").join(classes, ["a", "b"])
+        labels = with_links(None, links.select(F.col("id").alias("a"), F.col("class").alias("b")))
+    full = sets.select("class", "shingles")
     similar = (
         "component <> own and (size is null or centre_size is null"
         f" or 100 * least(size, centre_size) >= {percent} * greatest(size, centre_size))"
     )
-    shared = " + ".join(f"bit_count({w} & c{w})" for w in _BITS)
+    common_bits = " + ".join(f"bit_count({w} & c{w})" for w in _BITS)
     # The set join asks for 100 * common >= percent * union; this is the same of the most that can be common.
-    allowed = f"{100 + percent} * ({shared} + least(slack, centre_slack)) >= {percent} * (size + centre_size)"
-    allowed = f"coalesce({allowed}, true)"
-    labels = tested = None
-    number = 0
-    while True:
+    allowed = f"{100 + percent} * ({common_bits} + least(slack, centre_slack)) >= {percent} * (size + centre_size)"
+    number_of_round = 0
+    while open_ is not None:
         state = open_.withColumn("component", F.col("node"))
         if labels is not None:
             state = open_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = state.groupBy("bucket").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")
         )
-        split = split.where("lo <> hi").select("bucket", F.ceil(F.col("n") / SLICE).alias("parts"))
-        state = _stored(
-            state.join(split, "bucket").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), "parts")), "stars"
-        )
-        if state.isEmpty():
+        split = split.where("lo <> hi").select("bucket", "n", F.ceil(F.col("n") / SLICE).alias("parts"))
+        state = dealt_join(state, split, ["bucket"], "node", "n", rows * bands)
+        state = state.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), "parts"))
+        many = F.col("n") > FEW_MEMBERS
+        state, seen = stored(state, f"stars-{number_of_round}", n=number, many=F.count_if(many))
+        if not seen["n"]:
             break
-        if number == 0:
-            centres = state.groupBy("bucket").agg(
-                F.min(F.struct((-F.col("degree")).alias("order"), "node", "component", "size", "parts")).alias("c")
-            )
+        member = F.struct("node", "component", "size", "parts", "slack", *_BITS)
+        # Members all of which are centres meet each other once.
+        once = F.lit(False)
+        if number_of_round == 0:
+            first = state.groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("order"), member.alias("c"))).alias("m"))
+            centres = first.select("bucket", "m.c")
         else:
-            # Of the smallest component first, as everything else in the bucket must be tested against it.
-            least = state.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-            each = min(GROWTH**number, CENTRES)
-            centres = (
-                state.join(least, ["bucket", "component"])
-                .groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(number)), F.lit(each)).alias("slice"))
-                .agg(F.min(F.struct("n", "node", "component", "size", "parts", "slack", *_BITS)).alias("c"))
-            )
-        bits = [] if number == 0 else [F.col("c.slack").alias("centre_slack"), *[F.col(f"c.{w}").alias(f"c{w}") for w in _BITS]]
-        centres = _stored(
-            centres.select(
-                "bucket",
-                F.col("c.node").alias("centre"),
-                F.col("c.component").alias("own"),
-                F.col("c.size").alias("centre_size"),
-                F.col("c.parts").alias("parts"),
-                *bits,
-            ),
-            "centres",
+            centres, once = state.where(~many).select("bucket", member.alias("c")), ~many
+            if seen["many"]:
+                # Of the smallest component first, as everything else in the bucket must be tested against it.
+                least = state.where(many).groupBy("bucket", "component").agg(F.count("*").alias("of"))
+                each = min(GROWTH**number_of_round, CENTRES)
+                chosen = (
+                    state.where(many)
+                    .join(least, ["bucket", "component"])
+                    .groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(number_of_round)), F.lit(each)).alias("slice"))
+                    .agg(F.min(F.struct("of", member.alias("c"))).alias("m"))
+                )
+                chosen, _ = stored(chosen.select("bucket", "m.c"), f"centres-{number_of_round}")
+                centres = centres.union(chosen)
+        everywhere = centres.select(
+            "bucket",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("c.parts") - 1)).alias("part"),
+            F.col("c.node").alias("centre"),
+            F.col("c.component").alias("own"),
+            F.col("c.size").alias("centre_size"),
+            F.col("c.slack").alias("centre_slack"),
+            *[F.col(f"c.{w}").alias(f"c{w}") for w in _BITS],
         )
-        everywhere = centres.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         pairs = (
             state.join(everywhere, ["bucket", "part"])
-            .where(similar if number == 0 else f"{similar} and {allowed}")
+            .where(~once | (F.col("node") < F.col("centre")))
+            .where(f"{similar} and coalesce({allowed}, true)")
             .select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"))
             .distinct()
         )
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = _stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        common = F.size(F.array_intersect("x", "y"))
-        full = sets.select("class", "shingles")
-        confirmed = (
-            pairs.join(full.withColumnsRenamed({"class": "u", "shingles": "x"}), "u")
-            .join(full.withColumnsRenamed({"class": "v", "shingles": "y"}), "v")
-            .where(100 * common >= percent * (F.size("x") + F.size("y") - common))
-        )
-        fresh = _stored(confirmed.select(F.col("u").alias("a"), F.col("v").alias("b")), "confirmed")
-        if not fresh.isEmpty():
-            links = links.union(fresh)
-            labels = _stored(components(links), "labels")
-        done = centres.select("bucket", F.col("centre").alias("node"))
-        open_ = state.join(done, ["bucket", "node"], "left_anti").drop("component", "parts", "part")
-        if number == 0:
-            bitmaps = sets.join(several, sets["class"] == several["id"], "left_anti")
-            bitmaps = bitmaps.select(F.col("class").alias("node"), "slack", *_BITS).distinct()
-            open_ = open_.drop("degree").join(bitmaps, "node", "left")
-        number += 1
-    if labels is None:
-        labels = components(links)
+        pairs, found = stored(pairs, f"pairs-{number_of_round}", n=number)
+        if found["n"]:
+            common = F.size(F.array_intersect("x", "y"))
+            confirmed = (
+                pairs.join(full.withColumnsRenamed({"class": "u", "shingles": "x"}), "u")
+                .join(full.withColumnsRenamed({"class": "v", "shingles": "y"}), "v")
+                .where(100 * common >= percent * (F.size("x") + F.size("y") - common))
+            )
+            confirmed = confirmed.select(F.col("u").alias("a"), F.col("v").alias("b"))
+            confirmed, found = stored(confirmed, f"confirmed-{number_of_round}", n=number)
+            if found["n"]:
+                labels = with_links(labels, confirmed)
+        keep = ["bucket", "node", "size", "degree", "slack", *_BITS]
+        if number_of_round == 0:
+            open_ = state.select(*keep)
+        elif seen["many"]:
+            done = chosen.select("bucket", F.col("c.node").alias("node"))
+            open_ = state.where(many).join(done, ["bucket", "node"], "left_anti").select(*keep)
+        else:
+            open_ = None
+        number_of_round += 1
     # A component's smallest node is a class or an id that stands for one, so its smallest id.
-    return (
-        sketch.select("id", "n_shingles", "a", "b")
-        .join(classes.select("a", "b", "class"), ["a", "b"], "left")
-        .withColumn("class", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.coalesce("class", "id")).otherwise(F.col("id")))
-        .join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component_id", F.coalesce("component", "class"))
-        .select(
-            F.col("id").alias(id_col),
-            "n_shingles",
-            "component_id",
-            F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
-        )
+    classes = classes.withColumn("component_id", F.col("class"))
+    if labels is not None:
+        named = labels.withColumnRenamed("node", "class")
+        classes = classes.join(named, "class", "left").withColumn("component_id", F.coalesce("component", "class"))
+    classes = classes.select("a", "b", "copies", "component_id")
+    judged = dealt_join(known.drop("buckets"), classes, ["a", "b"], "id", "copies", rows)
+    alone = sketch.where("not coalesce(n_shingles > 0 and id is not null, false)").withColumn("component_id", F.col("id"))
+    columns = ["id", "n_shingles", "component_id"]
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return judged.select(*columns).unionByName(alone.select(*columns)).select(
+        F.col("id").alias(id_col), "n_shingles", "component_id", kept
     )
