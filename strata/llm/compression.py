@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import product
@@ -122,10 +123,15 @@ def _spans(texts: list[bytes], typical: np.ndarray, size: int) -> bytes:
 
 
 def _neutral(texts: list[bytes], typical: np.ndarray, size: int) -> bytes:
-    """Pieces of the texts without any typical sequence."""
+    """Pieces of the texts without any typical sequence, one of each from anywhere in it.
+
+    Places are tried in the order of a hash of the place and the text.
+    """
     out, total = [], 0
-    for text in sorted(texts, key=lambda t: hashlib.md5(t).digest()):
-        for piece in (text[k : k + 200] for k in range(0, min(len(text), 2000), 200)):
+    for digest, text in sorted((hashlib.md5(t).digest(), t) for t in texts):
+        places = range(0, len(text), 200)
+        for k in sorted(places, key=lambda k: zlib.crc32(digest + k.to_bytes(8, "little"))):
+            piece = text[k : k + 200]
             grams = _grams(piece)
             at = np.minimum(np.searchsorted(typical, grams), max(len(typical) - 1, 0))
             if not len(typical) or not (typical[at] == grams).any():

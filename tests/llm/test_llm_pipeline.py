@@ -72,6 +72,22 @@ def test_stages_keep_the_columns(spark, folder, stage):
     assert none.dtypes == docs.dtypes and none.count() == 0
 
 
+@pytest.mark.parametrize("kind", ["half", "toxic only", "ordinary only", "none"])
+def test_whatever_the_labels_no_ordinary_or_empty_document_goes(spark, tmp_path, kind):
+    rows = [(1000 + k, toxic(k) if k % 2 else prose(k, 60 + 7 * k % 340, 3000)) for k in range(200)] + ODD
+    wanted = {"half": (0, 1), "toxic only": (1,), "ordinary only": (0,), "none": ()}[kind]
+    labels = [(i, 1, i % 2) for i, _ in rows if 1000 <= (i or 0) < 1200 and i % 2 in wanted]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = pipeline.drop_toxic(spark, table(spark, rows), str(tmp_path)).collect()
+    left = {(r["doc_id"], r["text"]) for r in got}
+    assert {(i, t) for i, t in rows if not t} <= left
+    if kind == "half":
+        assert {(i, t) for i, t in rows if 1000 <= (i or 0) < 1200 and i % 2 == 0} <= left
+        assert len({i for i, _ in left if 1000 <= (i or 0) < 1200 and i % 2}) <= 10
+    else:
+        assert left == set(rows) and len(got) == len(rows)
+
+
 def test_repeated_rows_stay_once_after_near_duplicates(spark, folder):
     got = [tuple(r) for r in pipeline.drop_near_copies(spark, table(spark, ODD, False), folder).select("doc_id", "text").collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, dict.fromkeys(ODD)))
@@ -124,4 +140,4 @@ def test_whole_pipeline(spark, folder):
 def test_registered():
     queries = entry.queries()
     assert queries["pipeline"] is pipeline.run
-    assert sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op")) == list(range(1, 14))
