@@ -40,11 +40,19 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score as toxic; the model learns from the labels of the held-in folds."""
+    """Without the documents that score as toxic; the model learns from the labels of the held-in folds.
+
+    Null and empty texts stay, and so does every document where the labels are of one class only or absent: then
+    nothing tells a toxic text from another.
+    """
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = train(docs.select("doc_id", "text"), labels, "toxic", folds=FOLDS, fold=FOLD)
+    if not any(model.contents):
+        return docs
     packed = _packed(docs).select("_row", "_text")
-    return score(packed, model, ["_row"], "_text").where(F.col("score") < THRESHOLD).select("_row.*")
+    scored = score(packed, model, ["_row"], "_text")
+    empty = F.coalesce(F.length("_row.text") == 0, F.lit(True))
+    return scored.where(empty | (F.col("score") < THRESHOLD)).select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
