@@ -29,7 +29,7 @@ BINS = 192
 #: Chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
 #: Buckets of up to so many members have all of them as centres in the second round.
-FEW_MEMBERS = 512
+FEW_MEMBERS = 4096
 #: A larger bucket has at most so many times the centres of the round before, and never more than ``CENTRES``.
 GROWTH = 8
 CENTRES = 4096
