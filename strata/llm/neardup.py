@@ -34,7 +34,7 @@ FEW_MEMBERS = 4096
 GROWTH = 8
 CENTRES = 4096
 #: So many members of a bucket meet its centres in one task.
-SLICE = 256
+SLICE = 1024
 #: Words of 64 bits in the bitmap of a set.
 BITMAP = 16
 _U = np.uint64
