@@ -2,11 +2,13 @@
 
 Texts are cut into pre-tokens as the vocabulary's file says.  The distinct pre-tokens of a
 chunk that were not met before are laid out as one ragged array of symbols; each round every
-sequence merges all places of its own lowest-ranked pair, and the symbols left are counted.
+sequence merges all places of its own lowest-ranked pair, and the symbols left are counted.  A sequence of
+more than ``LONG`` symbols may have as many ranks as symbols, so it is merged by a queue of its pairs instead.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -22,6 +24,7 @@ from strata.llm.words import chunks, text_bytes
 #: Entries kept per worker before its memory of pre-tokens starts anew.
 MEMORY = 400_000
 CHUNK = 1 << 20
+LONG = 1000
 _NO_RANK = 1 << 40
 
 
@@ -51,6 +54,7 @@ class MergeTable:
         self.pairs = np.array(pairs, np.int64)[order]
         self.ranks = np.array([r for r, _ in merged], np.int64)[order]
         self.merged = np.array([m for _, m in merged], np.int64)[order]
+        self.known: dict[int, tuple[int, int]] = {}  # the same for single pairs, made when first asked for
         unknown = iter(range(max(vocab.values()) + 1, size))
         stand_ins = byte_symbols()
         self.inner = np.array([vocab.get(s, -1) for s in stand_ins], np.int64)
@@ -68,6 +72,38 @@ class MergeTable:
         found = self.pairs[at] == key
         return np.where(found, self.ranks[at], _NO_RANK), self.merged[at]
 
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """What merging leaves of one sequence: of waiting pairs the lowest-ranked, the first of equals, goes first."""
+        own = symbols.tolist()
+        n, size = len(own), self.size
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        if not self.known:
+            self.known = dict(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+        known = self.known
+
+        def offer(k: int) -> None:
+            if k >= 0 and after[k] < n:
+                found = known.get(own[k] * size + own[after[k]])
+                if found:
+                    heapq.heappush(waiting, (found[0], k, own[k], own[after[k]], found[1]))
+
+        waiting: list[tuple] = []
+        for k in range(n - 1):
+            offer(k)
+        while waiting:
+            _, k, left, right, both = heapq.heappop(waiting)
+            # A symbol that was merged away is -1; one that grew is another symbol.
+            if own[k] != left or after[k] >= n or own[after[k]] != right:
+                continue
+            gone = after[k]
+            own[k], own[gone] = both, -1
+            after[k] = after[gone]
+            if after[k] < n:
+                before[after[k]] = k
+            offer(before[k])
+            offer(k)
+        return np.array([x for x in own if x >= 0], np.int64)
+
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The symbols left of all words, and how many each word has."""
         data, offsets = text_bytes(pa.array(words, pa.large_string()))
@@ -77,6 +113,14 @@ class MergeTable:
         symbols[offsets[1:][filled] - 1] = self.last[data[offsets[1:][filled] - 1]]
         word = np.repeat(np.arange(len(words)), sizes)
         done_symbols, done_words = [], []
+        long = np.flatnonzero(sizes > LONG)
+        for k in long.tolist():
+            left = self.merge_long(symbols[offsets[k] : offsets[k + 1]])
+            done_symbols.append(left)
+            done_words.append(np.full(len(left), k))
+        if len(long):
+            short = sizes[word] <= LONG
+            symbols, word = symbols[short], word[short]
         while len(symbols):
             inside = np.append(word[1:] == word[:-1], False)
             rank, merged = self.rank(symbols, np.append(symbols[1:], 0))
