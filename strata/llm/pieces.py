@@ -47,6 +47,7 @@ class Model:
             if p.is_byte(i):
                 self.bytes[int(self.pieces[i][3:5], 16)] = i
         self.normal = {self.pieces[i]: i for i in range(n) if i not in other}
+        self.spaces = {len(t): i for t, i in self.normal.items() if t and not t.strip(SPACE)}
         self.control = {i for i in other if not p.is_byte(i)}
         # Merges are made in order of score, which is a rank's order; pieces of equal score share a rank.
         order = sorted(self.normal.values(), key=lambda i: (-p.get_score(i), i))
@@ -301,30 +302,42 @@ class PieceEncoder(WordEncoder):
                 parts.append(text[start:k])
                 start = k
         parts.append(text[start:])
-        plain = [p for p in parts if SPACE + SPACE not in p]
-        ids, sizes = self.lattice.encode(plain)
-        pieces = iter(np.split(ids, np.cumsum(sizes)[:-1]))
-        return np.concatenate([next(pieces) if SPACE + SPACE not in p else self._by_rule(p) for p in parts])
-
-    def _by_rule(self, text: str) -> np.ndarray:
-        """Pieces of a run of spaces and the word after it.
-
-        All merges within the run come after those that take its last space to the word, so the word is
-        merged with that space, and then what is left of the run alone.
-        """
-        run = len(text) - len(text.lstrip(SPACE))
-        word = text[run:]
-        if not word:
-            return np.array(self._spaces(run), np.int64)
-        ids, _ = self.lattice.encode([SPACE + word])
+        # All merges within a run of spaces come after those that take its last space to the word after it, so the
+        # word is merged with that space, and then what is left of the run alone.
+        runs = [len(p) - len(p.lstrip(SPACE)) if SPACE + SPACE in p else 1 for p in parts]
+        words = [p[run - 1 :] if len(p) > run or run == 1 else "" for p, run in zip(parts, runs)]
+        distinct = {word: k for k, word in enumerate(dict.fromkeys(words))}
+        ids, sizes = self.lattice.encode(list(distinct))
+        known = np.split(ids, np.cumsum(sizes)[:-1])
+        pieces = [known[distinct[word]] for word in words]
         alone = self.model.normal.get(SPACE)
-        if len(ids) and ids[0] == alone:
-            return np.append(np.array(self._spaces(run), np.int64), ids[1:])
-        return np.append(np.array(self._spaces(run - 1), np.int64), ids)
+        out = []
+        for word, run, own in zip(words, runs, pieces):
+            if run > 1 and (not word or (len(own) and own[0] == alone)):
+                own, left = own[1:], run
+            else:
+                left = run - 1
+            if left:
+                out.append(np.array(self._spaces(left), np.int64))
+            out.append(own)
+        return np.concatenate(out)
 
     def _spaces(self, run: int) -> list[int]:
-        """Merging equal spaces from the left, round by round: neighbours join while their piece exists."""
-        return [self.model.normal[s] for s in self.model.merge(SPACE * run)] if run else []
+        """Pieces of a run of spaces alone.
+
+        The pieces of several spaces have one rank, so the leftmost pair that has a piece is merged first.  That is
+        what a stack does: whatever lies on it has no pair, and what comes on top joins what is below while it can.
+        """
+        pieces = self.model.spaces
+        if len({self.model.rank[i] for size, i in pieces.items() if size > 1}) > 1:
+            return [pieces[len(s)] for s in self.model.merge(SPACE * run)]
+        stack: list[int] = []
+        for _ in range(run):
+            top = 1
+            while stack and stack[-1] + top in pieces:
+                top += stack.pop()
+            stack.append(top)
+        return [pieces[size] for size in stack]
 
 
 def decode(lattice: Lattice, ids: np.ndarray, first: np.ndarray) -> list[str]:

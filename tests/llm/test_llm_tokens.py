@@ -171,3 +171,34 @@ def test_op5_query(spark, pieces):
         ids = library.encode(table[r["doc_id"]])
         assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         assert r["round_trip"]
+
+
+def test_long_words_cost_in_proportion(libraries, counter):
+    import random
+    import time
+
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for size in (999, 1000, 1001, 5000, 100_000):
+        word = "".join(rng.choices(letters, k=size))
+        began = time.process_time()
+        assert counter.counts([word, "ab" * size, "éß日" * 400]) == [
+            len(ids_of(libraries[WORDS], t)) for t in (word, "ab" * size, "éß日" * 400)
+        ]
+        assert time.process_time() - began < 10
+
+
+def test_runs_of_spaces_are_the_librarys(pieces):
+    encoder, pieces_library = pieces
+    texts = [" " * n for n in range(70)] + ["a" + " " * n + "b c" for n in range(40)] + [" " * 4000, "word  " * 500, "日   x " * 50]
+    for text in texts:
+        assert encoder.whole(text).tolist() == pieces_library.encode(text)
+
+
+def test_long_runs_of_spaces_cost_in_proportion(pieces):
+    import time
+
+    encoder, _ = pieces
+    began = time.process_time()
+    assert len(encoder.whole(" " * 500_000)) > 10_000 and len(encoder.whole("word  " * 50_000)) >= 100_000
+    assert time.process_time() - began < 10
