@@ -3,13 +3,16 @@
 Texts are sequences of words (A-Z in lower case, punctuation at either end off).  The CGK walk reads a
 sequence with a random bit per (step, word): it writes the word it stands on and moves on if the bit is 1.
 Sequences that differ by few edits fall into step again, so most of what they write is equal at equal steps, that
-is, edit distance becomes Hamming distance.  Each of ``REPEATS`` walks is sampled at ``SAMPLES`` steps; the words
-there are the bucket.  Items are kept in classes by size.  Windows of a document start at every ``stride``-th
-word and every item is walked from each of its first ``stride`` words, so a passage at any place is met by some
-window exactly in line.  Walks sample the first half of an item only, and with chance; so that no passage is lost, runs of words
-are looked up too: ``k`` edits leave one of the ``k + 1`` stretches between them whole, of at least
-``(n - k) / (k + 1)`` words, and every run of that many words of every item is a key.  Whatever shares a bucket or
-a run is verified by the exact edit distance of words.
+is, edit distance becomes Hamming distance.  Each walk is sampled at ``SAMPLES`` of its first steps; the words
+there are the bucket.  Items are kept in classes by size.  Items are walked from every word on, and windows of a document
+start at every ``stride``-th word, so a passage at any place is met by some window exactly in line, again and again over
+its whole length: one stretch of a few words that the edits leave alone is enough.  A class has as many walks from each
+window as its size needs for a recall of ``RECALL`` at the full share of edits (``repeats_for``).
+
+As a second net, which finds what the walks miss by chance, runs of words are looked up: ``k`` edits leave one of
+the ``k + 1`` stretches between them whole, of at least ``(n - k) / (k + 1)`` words, and every run of that many words of
+every item is a key.  Items too short for walks are found by their runs alone.  Whatever shares a bucket or a run is
+verified by the exact edit distance of words, in a band as wide as the edits allowed.
 
 Items are few beside documents: blocks of bounded size travel to the tasks, documents never move.
 """
@@ -26,18 +29,23 @@ from pyspark.sql import functions as F
 
 from strata.llm.words import Words, chunks, mix, windows
 
-REPEATS = 12
+#: Share of passages at the edit limit that the walks alone should find; the runs find the rest.
+RECALL = 0.95
 SAMPLES = 4
 #: An item counts as found at up to this share of its words in edits.
 EDITS = 0.15
-#: Items with fewer words name no passage and are not searched.
+#: Items with fewer words are not walked; their runs find them.
 LEAST_WORDS = 8
+#: Walks sample no further than so many steps, about half as many words, and windows are no further apart.
+REACH, STRIDE = 20, 8
 #: Items are searched in blocks of about so many bytes of text.
 BLOCK_BYTES = 4 << 20
 #: Runs that are looked up have no more words, and their keys a table of so many bits.
 RUN, TABLE_BITS = 8, 22
-#: Words that are compared at once before the edit distance.
-AT_ONCE = 1 << 21
+#: Words that are compared at once before the edit distance, and cells of bands that are kept at once.
+AT_ONCE, CELLS = 1 << 21, 1 << 16
+#: Up to so many words of an item the whole table is computed.
+WHOLE = 400
 _U = np.uint64
 
 _PLAIN = np.zeros(256, bool)
@@ -60,6 +68,22 @@ def symbols(texts: pa.Array) -> tuple[Words, np.ndarray]:
     return words, words.hashes()
 
 
+def repeats_for(size: int, stride: int, reach: int, edits: float, recall: float = RECALL) -> int:
+    """Walks from each window of a passage of ``size`` words, so that ``recall`` of them share a bucket.
+
+    A walk meets its item if no edit lies before its last sample, which is at a random step of ``reach``.  Windows that
+    do not overlap are independent, and walks from one window nearly share their luck: the second adds half as much.
+    """
+    words = max(reach / 2 * SAMPLES / (SAMPLES + 1), 1)
+    luck = (1 - edits) ** words
+    apart = max((size - words) / max(words, stride), 1)
+    for repeats in range(4, 12):
+        each = 1 - (1 - luck) ** (1 + (repeats - 1) / 2)
+        if 1 - (1 - each) ** apart >= recall:
+            return repeats
+    return 12
+
+
 @dataclass
 class SizeClass:
     """Items of similar length: the buckets of every walk, as sorted keys with (item, shift)."""
@@ -127,9 +151,11 @@ class Walks:
 class Items:
     """A block of benchmark items, ready to be searched for."""
 
-    def __init__(self, ids: list[int], texts: list[str], repeats: int, edits: float):
+    def __init__(
+        self, ids: list[int], texts: list[str], repeats: int | None, edits: float, least_words: int = 1, runs: bool = True
+    ):
         words, values = symbols(pa.array(texts, pa.string()))
-        long = np.flatnonzero(words.counts >= LEAST_WORDS)
+        long = np.flatnonzero(words.counts >= max(least_words, 1))
         self.ids = np.array(ids, np.int64)[long]
         self.words = [values[words.first[k] : words.first[k + 1]] for k in long]
         self.sizes = words.counts[long]
@@ -137,18 +163,18 @@ class Items:
         self.marks = np.zeros((len(self.ids), 1024), bool)
         for k, own in enumerate(self.words):
             self.marks[k, (own >> _U(54)).astype(np.int64)] = True
-        self.repeats = repeats
         self.classes: list[SizeClass] = []
         low = LEAST_WORDS
         while low <= self.sizes.max(initial=0):
-            high = max(low + 1, int(low * 1.4))
+            # All items whose windows are as far apart as windows get are one class.
+            high = max(low + 1, int(low * 1.4)) if low < 4 * STRIDE else 1 << 62
             members = np.flatnonzero((self.sizes >= low) & (self.sizes < high))
             if len(members):
-                self.classes.append(self._class(members, low))
+                self.classes.append(self._class(members, low, repeats, edits))
             low = high
         # The longest stretch that as many edits as allowed must leave whole.
         whole = np.clip(-(-(self.sizes - self.limits) // (self.limits + 1)), 1, RUN)
-        self.runs = [self._runs(np.flatnonzero(whole == n), int(n)) for n in np.unique(whole)]
+        self.runs = [self._runs(np.flatnonzero(whole == n), int(n)) for n in np.unique(whole)] if runs else []
 
     def _runs(self, members: np.ndarray, length: int) -> Runs:
         sequence = np.concatenate([self.words[m] for m in members])
@@ -176,19 +202,23 @@ class Items:
             inside &= begin + self.sizes[item] <= words.first[doc + 1] + self.limits[item]
             yield np.stack([doc, item, begin])[:, inside]
 
-    def _class(self, members: np.ndarray, least: int) -> SizeClass:
-        stride = max(1, least // 4)
-        reach = max(SAMPLES, int(1.2 * (least - stride)))
+    def _class(self, members: np.ndarray, least: int, repeats: int | None, edits: float) -> SizeClass:
+        stride = min(max(1, least // 4), STRIDE)
+        reach = min(max(SAMPLES, int(1.2 * (least - stride))), REACH)
+        repeats = repeats or repeats_for(least, stride, reach, edits)
         draw = np.random.default_rng(least)
-        steps = np.sort([draw.choice(reach, SAMPLES, replace=False) for _ in range(self.repeats)], axis=1)
+        steps = np.sort([draw.choice(reach, SAMPLES, replace=False) for _ in range(repeats)], axis=1)
         sequence = np.concatenate([np.append(self.words[m], _U(0)) for m in members])
         sizes = self.sizes[members]
         first = np.cumsum(sizes + 1) - sizes - 1
-        at = (first[:, None] + np.arange(stride)).reshape(-1)
-        ends = np.repeat(first + sizes, stride)
+        # A start for every word but the last few, from which a walk would stand at the end.
+        starts = np.maximum(sizes - reach // 2, np.minimum(stride, sizes))
+        shifts = np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)
+        at, ends = np.repeat(first, starts) + shifts, np.repeat(first + sizes, starts)
+        owner = np.repeat(members, starts)
         out = SizeClass(stride, steps, [], [], [], [])
         walks = Walks(sequence)
-        for r in range(self.repeats):
+        for r in range(repeats):
             _, keys = walks.keys(at, ends, steps[r], r)
             tables = []
             for _, word in walks.words(at, ends, steps[r], r):
@@ -197,8 +227,8 @@ class Items:
                 tables.append(table)
             order = np.argsort(keys, kind="stable")
             out.keys.append(keys[order])
-            out.items.append(np.repeat(members, stride)[order])
-            out.shifts.append(np.tile(np.arange(stride), len(members))[order])
+            out.items.append(owner[order])
+            out.shifts.append(shifts[order])
             out.firsts.append(tables)
         return out
 
@@ -211,8 +241,10 @@ class Items:
         ends = words.first[1:][doc_of]
         starts_of = [np.flatnonzero(offset % group.stride == 0) for group in self.classes]
         found = list(self._shared_runs(words, values, doc_of))
-        for r in range(self.repeats):
+        for r in range(max((len(group.keys) for group in self.classes), default=0)):
             for group, starts in zip(self.classes, starts_of):
+                if r >= len(group.keys):
+                    continue
                 left, keys = walks.keys(starts, ends[starts], group.steps[r], r, group.firsts[r])
                 lo = np.searchsorted(group.keys[r], keys, "left")
                 many = np.searchsorted(group.keys[r], keys, "right") - lo
@@ -224,12 +256,34 @@ class Items:
                     # A supposed start may lie before the text's first word; the text goes with it.
                     found.append(np.stack([doc_of[which], group.items[r][place], begin]))
         if not found:
-            return np.zeros((0, 3), np.int64)
+            return np.zeros((0, 4), np.int64)
         doc, item, begin = np.concatenate(found, axis=1)
-        at = ((doc * len(self.ids) + item) << 1) * (len(values) + 1) + begin + len(values) // 2
-        _, first = np.unique(at, return_index=True)
-        rows = np.stack([doc[first], item[first], begin[first]], axis=1)
-        step = max(1, AT_ONCE // int((self.sizes + 2 * self.limits).max()))
+        inside = (begin >= words.first[doc] - self.limits[item]) & (
+            begin + self.sizes[item] <= words.first[doc + 1] + self.limits[item]
+        )
+        doc, item, begin = doc[inside], item[inside], begin[inside]
+        if not len(doc):
+            return np.zeros((0, 4), np.int64)
+        order = np.lexsort((begin, item, doc))
+        doc, item, begin = doc[order], item[order], begin[order]
+        # Supposed starts of one item within the limit of the first of them are one.
+        same = np.append(False, (doc[1:] == doc[:-1]) & (item[1:] == item[:-1]))[: len(doc)]
+        close = same & (np.append(0, np.diff(begin))[: len(doc)] <= self.limits[item])
+        keep = ~close
+        chain = np.flatnonzero(close)
+        if len(chain):
+            last, before = 0, -2
+            for k in chain.tolist():  # a few of many; each is measured from the start that was kept
+                if before != k - 1:
+                    last = begin[k - 1]
+                if begin[k] - last > self.limits[item[k]]:
+                    keep[k], last = True, begin[k]
+                before = k
+        # How far the last start that was folded into each lies behind it.
+        heads = np.flatnonzero(keep)
+        tails = np.append(heads[1:], len(begin)) - 1
+        rows = np.stack([doc[heads], item[heads], begin[heads], begin[tails] - begin[heads]], axis=1)
+        step = max(1, AT_ONCE // int((self.sizes + 3 * self.limits).max(initial=1)))
         good = [self._enough(words, values, rows[k : k + step]) for k in range(0, len(rows), step)]
         return rows[np.concatenate(good)] if good else rows
 
@@ -240,7 +294,7 @@ class Items:
         """
         sizes, limit = self.sizes[rows[:, 1]], self.limits[rows[:, 1]]
         low = np.maximum(rows[:, 2] - limit, words.first[rows[:, 0]])
-        high = np.minimum(rows[:, 2] + sizes + limit, words.first[rows[:, 0] + 1])
+        high = np.minimum(rows[:, 2] + sizes + 2 * limit, words.first[rows[:, 0] + 1])
         n = np.maximum(high - low, 0)
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
         item = np.repeat(rows[:, 1], n)
@@ -249,7 +303,39 @@ class Items:
 
     def verify(self, words: Words, values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each candidate the least edit distance of its item to a run of words near the supposed
-        start, and where the run begins and ends (places in ``values``)."""
+        start, and where the run begins and ends (places in ``values``).
+
+        ``rows`` are text, item, supposed start and, where several were folded into one, how far the last of them lies
+        behind.  For items of more than ``WHOLE`` words only a band of the table is computed, and distances above the limit
+        are not exact.
+        """
+        if rows.shape[1] == 3:
+            rows = np.column_stack([rows, np.zeros(len(rows), np.int64)])
+        distance = np.full(len(rows), 1 << 29)
+        begins, finish = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        sizes = self.sizes[rows[:, 1]]
+        short = np.flatnonzero(sizes <= WHOLE)
+        if len(short):
+            distance[short], begins[short], finish[short] = self._whole(words, values, rows[short])
+        # A way of d edits that passes one of the folded starts keeps within d words of them, so a band that is wider than
+        # the distance found in it holds the nearest way.  Bands widen until they are, or as wide as the limit.
+        going, reach = np.flatnonzero(sizes > WHOLE), 8
+        while len(going):
+            going = going[np.argsort(sizes[going], kind="stable")]  # items of like size together
+            at = 0
+            while at < len(going):
+                limit = np.minimum(self.limits[rows[going[at:], 1]], reach)
+                cells = 2 * limit + rows[going[at:], 3] + 1
+                which = going[at : at + max(1, int(np.searchsorted(np.cumsum(cells), CELLS)))]
+                distance[which], begins[which], finish[which] = self._banded(words, values, rows[which], reach)
+                at += len(which)
+            most = self.limits[rows[going, 1]]
+            going = going[(distance[going] > reach) & (most > reach)]
+            reach *= 4
+        return distance, begins, finish
+
+    def _whole(self, words: Words, values: np.ndarray, rows: np.ndarray):
+        """The whole table of each item and the words around its supposed starts."""
         distance = np.zeros(len(rows), np.int64)
         begins, finish = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
         for at in range(0, len(rows), 512):
@@ -257,7 +343,7 @@ class Items:
             sizes, limit = self.sizes[part[:, 1]], self.limits[part[:, 1]]
             n = int(sizes.max())
             low = np.maximum(part[:, 2] - limit, words.first[part[:, 0]])
-            high = np.minimum(part[:, 2] + sizes + limit, words.first[part[:, 0] + 1])
+            high = np.minimum(part[:, 2] + part[:, 3] + sizes + limit, words.first[part[:, 0] + 1])
             width = int((high - low).max())
             place = np.minimum(low[:, None] + np.arange(width), len(values) - 1)
             text = np.where(low[:, None] + np.arange(width) < high[:, None], values[place], _U(0))
@@ -292,12 +378,61 @@ class Items:
             distance[at : at + len(part)] = best
         return distance, begins, finish
 
+    def _banded(self, words: Words, values: np.ndarray, rows: np.ndarray, reach: int):
+        """Cell ``c`` of a row's band at the item's ``k``-th word stands for the text up to place ``start + k + c - limit``."""
+        many, far = len(rows), 1 << 29
+        sizes, limit = self.sizes[rows[:, 1]], np.minimum(self.limits[rows[:, 1]], reach)
+        cells = 2 * limit + rows[:, 3] + 1
+        width = int(cells.max())
+        column = np.arange(width)
+        first, end = words.first[rows[:, 0]][:, None], words.first[rows[:, 0] + 1][:, None]
+        place = rows[:, 2][:, None] - limit[:, None] + column  # of the text before which a run may begin
+        outside = column >= cells[:, None]
+        cost = np.where((place < first) | (place > end) | outside, far, 0)
+        origin = place.copy()
+        n = int(sizes.max())
+        own = np.zeros((many, n), _U)
+        for k, item in enumerate(rows[:, 1]):
+            own[k, : sizes[k]] = self.words[item]
+        best, begins, finish = np.full(many, far), np.zeros(many, np.int64), np.zeros(many, np.int64)
+        text = np.append(values, _U(0))
+        for k in range(n):
+            # The item's word against the text's: the same cell; without a word of the text: the next one.
+            here = place + k
+            inside = (here >= first) & (here < end)
+            equal = inside & (text[np.where(inside, here, len(values))] == own[:, k][:, None])
+            diagonal = np.where(inside, cost + ~equal, far)
+            skipped = np.full_like(cost, far)
+            skipped[:, :-1] = cost[:, 1:] + 1
+            take = diagonal <= skipped
+            new = np.where(take, diagonal, skipped)
+            source = origin.copy()
+            source[:, :-1] = np.where(take[:, :-1], origin[:, :-1], origin[:, 1:])
+            # Words of the text that the item hasn't: the cheapest cell to the left and the way from it.
+            after = here + 1
+            new[outside | (after < first) | (after > end)] = far
+            key = (new - column) * (width + 1) + (width - column)
+            running = np.minimum.accumulate(key, axis=1)
+            left = width - running % (width + 1)
+            reached = np.floor_divide(running, width + 1) + column
+            usable = ~outside & (after >= first) & (after <= end)
+            cost = np.where(usable, np.minimum(reached, far), far)
+            origin = np.take_along_axis(source, np.clip(left, 0, width - 1), axis=1)
+            done = np.flatnonzero(sizes == k + 1)
+            if len(done):
+                stop = np.argmin(cost[done], axis=1)
+                best[done] = cost[done, stop]
+                finish[done] = after[done, stop]
+                begins[done] = origin[done, stop]
+        return best, begins, finish
+
 
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
     edits: float = EDITS,
-    repeats: int = REPEATS,
+    repeats: int | None = None,
+    least_words: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
@@ -307,8 +442,9 @@ def find_leaks(
 
     One row per document and item found: at how many places, and of the nearest one the edit distance in words
     and the words it spans.  An item is found where some run of words is within ``edits`` times its number of words.
-    Null or empty texts hold and are no passage; items without an id or with fewer than ``LEAST_WORDS`` words are
-    not searched; rows that share an id are one document and have their places summed.  Documents without an id
+    ``repeats`` sets the walks from each window, by default as many as ``repeats_for`` says.  Items of fewer than
+    ``least_words`` words are not searched; by default all are, those of up to 6 words in whole only.
+    Null or empty texts hold and are no passage; items without an id are not searched; rows that share an id are one document and have their places summed.  Documents without an id
     give rows without one.  Other columns are not read.  Empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -321,7 +457,7 @@ def find_leaks(
     for block in range(blocks):
         rows = known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).sort("item", "text").toArrow()
         shared = spark.sparkContext.broadcast((rows["item"].to_pylist(), rows["text"].to_pylist()))
-        found = texts.mapInArrow(_search(shared, repeats, edits), "id long, item long, start long, `end` long, distance long")
+        found = texts.mapInArrow(_search(shared, repeats, edits, least_words), "id long, item long, start long, `end` long, distance long")
         out = found if out is None else out.unionAll(found)
     return (
         out.groupBy("id", "item")
@@ -340,12 +476,12 @@ def find_leaks(
     )
 
 
-def _search(shared, repeats: int, edits: float):
+def _search(shared, repeats: int | None, edits: float, least_words: int = 1, runs: bool = True):
     ready: list[Items] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not ready:
-            ready.append(Items(*shared.value, repeats, edits))
+            ready.append(Items(*shared.value, repeats, edits, least_words, runs))
         items = ready[0]
         for batch in chunks(batches, "text"):
             words, values = symbols(batch.column("text"))

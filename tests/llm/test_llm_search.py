@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import oracle as sql
 from strata.llm import queries
-from strata.llm.leaks import EDITS, LEAST_WORDS, REPEATS, Items, _search, find_leaks, symbols
+from strata.llm.leaks import EDITS, LEAST_WORDS, Items, _search, find_leaks, symbols
 from strata.llm.topk import top_k
 
 
@@ -88,7 +88,7 @@ def test_every_passage_within_the_edit_limit_is_found(size, part):
         around = prose(k, 200, 3000).split()
         rows.append(" ".join(around[:101] + w + around[101:]))
     batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(rows)], names=["id", "text"])
-    search = _search(SimpleNamespace(value=(list(range(20)), texts)), REPEATS, EDITS)
+    search = _search(SimpleNamespace(value=(list(range(20)), texts)), None, EDITS)
     found = {(r["id"], r["item"]) for out in search(iter([batch])) for r in out.to_pylist()}
     assert found >= {(k, k) for k in range(20)}
 
