@@ -16,6 +16,17 @@ from strata.sources.tables import Files
 # character like any other.  Blanks belong to the value; trimming is the conform step's work.
 _DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 _CSV = {**_DIALECT, "mode": "FAILFAST", "enforceSchema": "false"}
+#: Holds the text of a line that does not have the header's shape.
+CORRUPT = "_corrupt"
+# All columns are parsed, whichever are asked for, as a line is judged by all of them.  A quoted value goes on to a
+# quote that ends it, so that one left open swallows the values after it and its line has too few.
+_LENIENT = {
+    **_CSV,
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "columnPruning": "false",
+    "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE",
+}
 
 
 def read_csv(
@@ -30,6 +41,31 @@ def read_csv(
     return spark.read.options(**_CSV, multiLine=multi_line).schema(schema).csv(path)
 
 
+def read_csv_apart(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of CSV files, and the lines that have too few or too many values.
+
+    Where ``read_csv`` raises, this keeps such a line apart: ``line`` is its text, ``_source_file`` its file, and
+    ``block_start`` and ``block_length`` say which bytes of the file it was read from.  A quote left open makes the
+    rest of its line one value; in the last column that is no fault of shape.  A file whose header does not fit
+    still raises.
+    """
+    lenient = _copy(schema).add(CORRUPT, "string")
+    rows = spark.read.options(**_LENIENT, multiLine=multi_line).schema(lenient).csv(path)
+    return split_corrupt(_with_origin(rows))
+
+
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leniently read rows without the corrupt ones, and those."""
+    # Spark refuses a query that asks for nothing but the corrupt text, a count of such lines among them; naming the
+    # file's other columns asks for them too.
+    known = {CORRUPT, SOURCE_FILE, ARRIVAL, "_source_time", *_PLACE}
+    rows = rows.filter(F.length(F.concat_ws("", *[c for c in rows.columns if c not in known])) >= 0)
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), SOURCE_FILE, *_PLACE)
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, *_PLACE), bad
+
+
 def read_full_load(spark: SparkSession, folder: str, entity: Entity) -> DataFrame:
     """The baseline files or the current snapshot of an entity, all columns as text."""
     return read_csv(spark, f"{folder}/*.csv", entity.raw_schema())
@@ -47,15 +83,18 @@ def stream_csv(
     schema: T.StructType,
     max_files: int | None = 1,
     archive: str | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """A file stream over a folder: each file is delivered once per checkpoint.
 
-    Without ``max_files`` all files that are there make one batch.
+    Without ``max_files`` all files that are there make one batch.  ``lenient`` keeps lines
+    that do not have the header's shape, for ``split_corrupt``; otherwise they end the stream.
 
     ``archive`` moves finished files there; exactly-once rests on the
     checkpoint, not on the move.
     """
-    reader = spark.readStream.options(**_CSV).schema(schema)
+    options, schema = (_LENIENT, _copy(schema).add(CORRUPT, "string")) if lenient else (_CSV, schema)
+    reader = spark.readStream.options(**options).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
@@ -68,12 +107,21 @@ def read_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType)
     return _with_origin(spark.read.options(**_CSV).schema(schema).csv(paths))
 
 
+_PLACE = ("block_start", "block_length")
+
+
+def _copy(schema: T.StructType) -> T.StructType:
+    return T.StructType(list(schema.fields))
+
+
 def _with_origin(rows: DataFrame) -> DataFrame:
+    place = [F.col(f"_metadata.file_{c}").alias(c) for c in _PLACE] if CORRUPT in rows.columns else []
     return rows.select(
         "*",
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         F.col("_metadata.file_modification_time").alias("_source_time"),
         arrival().alias(ARRIVAL),
+        *place,
     )
 
 

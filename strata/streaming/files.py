@@ -17,7 +17,7 @@ from strata.operators.changes import merge_changes
 from strata.operators.conform import conform
 from strata.operators.history import scd2_backlog, scd2_step
 from strata.schema import ARRIVAL, Entity
-from strata.sources.files import read_csv_files, stream_csv
+from strata.sources.files import CORRUPT, read_csv_files, split_corrupt, stream_csv
 from strata.sources.tables import HistoryTable, Table
 
 
@@ -53,6 +53,9 @@ def apply_change_files(
     archive: str | None = None,
     clock: Callable[[], datetime] | None = _utc_now,
     extra: Sequence[str] = (),
+    rejects: str | None = None,
+    once_by: Sequence[str] = (),
+    within: str = "7 days",
 ) -> StreamingQuery:
     """Merge the change files of a folder into a table that has a baseline.
 
@@ -60,13 +63,16 @@ def apply_change_files(
     their path, each as a batch of its own.  ``max_files`` says how many are merged
     by one write of the table and changes no row.  Inside a file a key's last
     row by the ``extra`` columns wins.
+
+    ``rejects`` names a folder for lines that do not have the header's shape, each batch's beside
+    the others'; without it they end the stream.  ``once_by`` and ``within`` are those of ``merge_stream``.
     """
     schema = entity.raw_schema(changes=True)
     for c in extra:
         schema = schema.add(c, "string")
-    rows = stream_csv(spark, folder, schema, max_files, archive)
+    rows = stream_csv(spark, folder, schema, max_files, archive, lenient=rejects is not None)
     return merge_stream(
-        rows, entity, table, checkpoint, preserve, clock, order_by=extra, sequence=ARRIVAL
+        rows, entity, table, checkpoint, preserve, clock, extra, ARRIVAL, rejects, once_by, within
     )
 
 
@@ -79,15 +85,48 @@ def merge_stream(
     clock: Callable[[], datetime] | None = _utc_now,
     order_by: Sequence[str] = (),
     sequence: str | None = None,
+    rejects: str | None = None,
+    once_by: Sequence[str] = (),
+    within: str = "7 days",
 ) -> StreamingQuery:
     """Merge any stream of raw change rows into a table that has a baseline.
 
     ``sequence`` orders the batches that one micro-batch may hold, ``order_by``
     the rows of a key inside each.
+
+    ``once_by`` names columns (the key and the source's own sequence number, say) that tell one change
+    from another, for sources that deliver a change again in a later batch or run: it counts the first time only.
+    What was taken in is remembered in Spark's state store for ``within``, counted from when it arrived, so the
+    state holds the changes of that span and no row is ever late.
+
+    ``rejects`` names a folder for the corrupt lines of a leniently read stream.
     """
     keep = [*order_by, *([sequence] if sequence else [])]
+    if once_by:
+        # Corrupt lines have no columns to tell them apart by, but their own text.
+        told = [*once_by, *([CORRUPT] if rejects else [])]
+        rows = rows.withColumn("_taken_at", F.current_timestamp()).withWatermark("_taken_at", within)
+        rows = rows.dropDuplicatesWithinWatermark(told).drop("_taken_at")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if rejects is None and not once_by:
+            merge(batch, batch_id)
+            return
+        # Read more than once: as a batch with state may not be, and so that files are not parsed again.
+        batch.persist()
+        try:
+            rows = batch
+            if rejects is not None:
+                rows, bad = split_corrupt(batch)
+                # A batch that is delivered again replaces its lines.
+                bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            # A batch may only move the state's time on, or bring nothing new.
+            if not (once_by and rows.isEmpty()):
+                merge(rows, batch_id)
+        finally:
+            batch.unpersist()
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
         if _seen(table, batch_id):
             return
         changes = conform(batch, entity, clock() if clock else None, changes=True, keep=keep)

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -44,6 +45,9 @@ def test_accepted(spark, sql):
         "select `reflect`('java.lang.System', 'exit', 0)",
         "select java_method /* x */ ('java.lang.System', 'exit', 0)",
         "select transform(a) using 'cat' as (b) from t",
+        "select transform(a) using r'cat' as (b) from t",
+        "select identifier('ref' || 'lect')('java.lang.System', 'exit', 0)",
+        r"select r'\' as a, reflect('java.lang.System', 'nanoTime') as h, '' as b",
     ],
 )
 def test_refused(sql):
@@ -51,6 +55,25 @@ def test_refused(sql):
         adhoc.check_read_only(sql)
 
 
+def test_columns_of_texts_are_judged_alike(spark):
+    rng = random.Random(1)
+    pieces = ["select", "with", "drop", " ", "\n", ";", "--", "/*", "*/", "'", '"', "`", "\\", "r'", 'R"', "reflect(", "reflect"]
+    pieces += ["(", "java_method (", "identifier(", "using ", "using''", "a", "1", ",", "x;y", "''", "é", "\u0001"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 14))) for _ in range(3000)]
+    texts += [f"select {t}" for t in texts] + ["select 1", "select 'it''s; -- fine' as x", r"select r'\' as a, reflect('x') as b, ''"]
+
+    def accepted(text):
+        try:
+            adhoc.check_read_only(text)
+        except adhoc.NotReadOnly:
+            return False
+        return True
+
+    judged = spark.createDataFrame([(t,) for t in texts], "t string").select("t", adhoc.verdicts("t")).collect()
+    assert [t for t, verdict in judged if verdict != accepted(t)] == [] and sum(v for _, v in judged) > 1000
+    assert spark.sql("select cast(null as string) as t").select(adhoc.verdicts("t")).first()[0] is False
+
+
 def test_statement_behind_with_cannot_write(spark):
     spark.sql("create or replace temp view src as select 1 as id")
     spark.range(1).write.mode("overwrite").saveAsTable("guard_target")

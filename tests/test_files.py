@@ -113,3 +113,34 @@ def test_bad_values_raise_or_are_kept_apart(spark, column, value):
 def test_good_rows_have_no_rejects(spark):
     fits, rejects = split_rejects(orders(spark), ORDERS)
     assert fits.columns == ORDERS.columns and fits.count() == 1 and rejects.count() == 0
+
+
+def test_lines_of_another_shape_are_kept_apart(spark, tmp_path):
+    from strata.sources.files import read_csv_apart
+
+    good = ['1,2," Toys ",3,4.50,2026-01-01,"say ""hi"", all"', "2,2,Home,,,,", '3,2,"a,b",,,,plain "inner" quote']
+    bad = ["4,2,Home", "5,2,Home,,,,active,more", '6,2,"open,3,4.50,2026-01-01,x', '7,"open,Home,3,4.50,2026-01-01,"x"']
+    write_file(tmp_path / "in", "a.csv", HEADER, good[0], bad[0], good[1], bad[1])
+    write_file(tmp_path / "in", "b.csv", HEADER, bad[2], good[2], bad[3])
+    rows_, lines = read_csv_apart(spark, str(tmp_path / "in"), INVENTORY.raw_schema())
+    assert rows(rows_.select("product_id", "category", "status")) == [
+        ("1", " Toys ", 'say "hi", all'),
+        ("2", "Home", None),
+        ("3", "a,b", 'plain "inner" quote'),
+    ]
+    assert rows(lines.select("line", SOURCE_FILE)) == sorted(zip(bad, ["a.csv", "a.csv", "b.csv", "b.csv"]), key=repr)
+    places = {r["line"]: (r["block_start"], r["block_length"]) for r in lines.collect()}
+    size = (tmp_path / "in" / "a.csv").stat().st_size
+    assert places[bad[0]] == (0, size)
+    # Counts that ask for no column, and for one.
+    assert (rows_.count(), lines.count()) == (3, 4)
+    assert rows(rows_.select("category").filter("category is not null")) == [(" Toys ",), ("Home",), ("a,b",)]
+    assert rows(conform(rows_, INVENTORY).select("product_id", "status"))[1:] == [(2, None), (3, 'plain "inner" quote')]
+
+
+def test_a_header_that_does_not_fit_is_still_an_error(spark, tmp_path):
+    from strata.sources.files import read_csv_apart
+
+    write_file(tmp_path, "a.csv", HEADER.replace("category", "kind"), "1,2,Toys,3,4.50,2026-01-01,x")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_apart(spark, str(tmp_path), INVENTORY.raw_schema())[0].collect()

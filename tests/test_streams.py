@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from support import rows, same, write_file
@@ -136,3 +138,70 @@ def test_snapshots_become_rounds(spark, tmp_path):
     # Ends equal starts, and both are the file's time.
     ends = versions.filter("not is_current").select(F.col("valid_to").alias("t")).distinct()
     same(ends, versions.filter("is_current").select(F.col("valid_from").alias("t")))
+
+
+def test_a_change_delivered_again_counts_once(spark, tmp_path, clients):
+    """In a later file of the same run, in a later run, and after a restart of the stream."""
+    header = HEADER + ",seq"
+
+    def deliver(name, *changes):
+        write_file(tmp_path / "cdc", name, header, *(f"{line(k, v, 'U')},{n}" for k, v, n in changes))
+        os.utime(tmp_path / "cdc" / name, (1.7e9 + int(name[0]),) * 2)  # files of one instant have no order
+
+    def run():
+        take_in(spark, tmp_path, clients, max_files=1, extra=["seq"], once_by=["customer_id", "seq"])
+
+    deliver("1.csv", (1, "first", 1), (2, "two", 1))
+    deliver("2.csv", (1, "second", 2))
+    deliver("3.csv", (1, "first", 1))  # again, after its successor
+    run()
+    assert names(clients) == {0: "n0", 1: "second", 2: "two", 3: "n3"}
+    versions = clients.versions()
+    deliver("4.csv", (1, "first", 1), (1, "second", 2), (2, "two", 1))
+    run()
+    assert names(clients)[1] == "second" and clients.versions() == versions  # nothing new, nothing written
+    deliver("5.csv", (2, "two", 1), (2, "three", 2))
+    run()
+    assert names(clients) == {0: "n0", 1: "second", 2: "three", 3: "n3"}
+
+
+def test_what_was_taken_in_is_forgotten_in_time(spark, tmp_path, clients):
+    """The state holds the span asked for; what comes again after it counts again."""
+    import time
+
+    def run(name, *changes):
+        write_file(tmp_path / "cdc", name, HEADER + ",seq", *(f"{line(k, v, 'U')},{n}" for k, v, n in changes))
+        query = apply_change_files(
+            spark, str(tmp_path / "cdc"), CLIENTS, clients, str(tmp_path / "checkpoint"),
+            preserve=["ingestion_time"], extra=["seq"], once_by=["customer_id", "seq"], within="1 second",
+        )
+        query.awaitTermination()
+        states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+        return states[-1] if states else 0
+
+    for n in range(4):
+        run(f"{n}.csv", *((k, f"v{n}", n) for k in range(4)))
+        time.sleep(2)
+    assert run("9.csv", (0, "again", 0)) <= 5  # not one entry for every change ever seen
+    assert names(clients)[0] == "again"
+
+
+def test_broken_lines_are_kept_beside_the_table(spark, tmp_path, clients):
+    rejects = tmp_path / "rejects"
+    write_file(tmp_path / "cdc", "1.csv", HEADER, line(1, "first", "U"), "2,too,few", line(3, '"open', "U"))
+    write_file(tmp_path / "cdc", "2.csv", HEADER, line(0, "more", "U") + ",x")
+    take_in(spark, tmp_path, clients, max_files=1, rejects=str(rejects))
+    assert names(clients) == {0: "n0", 1: "first", 2: "n2", 3: "n3"}
+    kept = spark.read.parquet(str(rejects)).select("line", SOURCE_FILE)
+    assert rows(kept) == sorted(
+        [("2,too,few", "1.csv"), (line(3, '"open', "U"), "1.csv"), (line(0, "more", "U") + ",x", "2.csv")], key=repr
+    )
+    take_in(spark, tmp_path, clients, rejects=str(rejects))  # nothing new
+    assert kept.count() == 3
+
+
+def test_broken_lines_end_a_stream_without_a_place_for_them(spark, tmp_path, clients):
+    write_file(tmp_path / "cdc", "1.csv", HEADER, line(1, "first", "U"), "2,too,few")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        take_in(spark, tmp_path, clients)
+    assert names(clients)[1] == "n1"

@@ -24,7 +24,7 @@ SNAPSHOT_TIMES = {
     3: "2000-01-01 12:00:00",
 }
 
-#: Statements for the guard; a region's key and name are put in.
+#: Statements for the guard; an event's number and kind are put in.
 STATEMENTS = (
     "select {k} as k",
     "-- {name}\nselect count(*) as n from region where r_name = '{name}; drop'",

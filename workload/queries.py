@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import strata.operators.quality as q
 from strata.functions.columns import clean, differs, month_of
@@ -50,6 +51,7 @@ from strata.session import scratch_dir
 from strata.sources.files import (
     land,
     read_change_files,
+    read_csv_apart,
     read_full_load,
     replace_snapshot,
     write_csv,
@@ -786,19 +788,12 @@ def job_records(spark, sf):
 
 @query
 def guard_verdicts(spark, sf):
-    """Statements made from the regions, and whether the guard lets them run."""
-    session = adhoc.read_only_session(spark)
-    table(session, sf, "region").createOrReplaceTempView("region")
-    verdicts = []
-    for row in table(spark, sf, "region").collect():  # one row per region of the world
-        for text in b.STATEMENTS:
-            statement = text.replace("{k}", str(row["r_regionkey"])).replace("{name}", row["r_name"])
-            try:
-                adhoc.query(session, statement)
-                verdicts.append((statement, True))
-            except adhoc.NotReadOnly:
-                verdicts.append((statement, False))
-    return spark.createDataFrame(verdicts, "statement string, accepted boolean")
+    """A statement made from each event, and whether the guard lets it run."""
+    texts = F.array(*[F.lit(t) for t in b.STATEMENTS])
+    pattern = F.element_at(texts, (F.col("event_id") % len(b.STATEMENTS) + 1).cast("int"))
+    statement = F.replace(F.replace(pattern, F.lit("{k}"), text_of("event_id")), F.lit("{name}"), F.col("event_type"))
+    jobs = table(spark, sf, "events").select("event_id", statement.alias("statement"))
+    return jobs.withColumn("accepted", adhoc.verdicts("statement"))
 
 
 @query
@@ -868,6 +863,32 @@ def csv_change_files(spark, sf):
     return portable(staged_changes(baseline, changes, ORDERS, b.BATCH_1))
 
 
+@query
+def rejected_lines(spark, sf):
+    """Documents in CSV files of which some lines are broken: what loads, and what is kept apart."""
+    folder = scratch_dir(spark, "broken")
+    k = F.col("doc_id")
+    # Line breaks would need multi-line reading, a file a task.
+    flat = F.translate(F.coalesce("text", F.lit("")), "\r\n", "  ")
+    quoted = F.concat(F.lit('"'), F.replace(flat, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = (
+        F.when(k % 7 == 1, F.concat_ws(",", k, F.concat(F.lit('"'), "lang"), "source", quoted))  # a quote left open
+        .when(k % 7 == 2, F.concat_ws(",", k, "lang", "source", quoted, F.lit("more")))
+        .when(k % 7 == 3, F.concat_ws(",", k, "lang"))
+        .otherwise(F.concat_ws(",", k, "lang", "source", quoted))
+    )
+    # Four files, each with its header first.
+    files = spark.range(4).select(F.col("id").alias("p"), F.lit("doc_id,lang,source,text").alias("value"), F.lit(0).alias("n"))
+    lines = table(spark, sf, "documents").select((k % 4).alias("p"), line.alias("value"), F.lit(1).alias("n"))
+    sorted_lines = files.union(lines).repartition("p").sortWithinPartitions("p", "n")
+    sorted_lines.select("p", "value").write.partitionBy("p").text(f"{folder}/lines")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("doc_id", "lang", "source", "text")])
+    good, bad = read_csv_apart(spark, f"{folder}/lines/*/*.txt", schema)
+    loaded = good.select(F.col("doc_id").cast("long"), F.lit(True).alias("loaded"), F.md5("text").alias("digest"))
+    from_line = F.regexp_extract("line", "^[0-9]+", 0).cast("long").alias("doc_id")
+    return loaded.unionByName(bad.select(from_line, F.lit(False).alias("loaded"), F.md5("line").alias("digest")))
+
+
 @query
 def landed_files(spark, sf):
     """CSV files appended to the landing table of a day."""
@@ -958,6 +979,30 @@ def stream_change_files(spark, sf):
     return portable(orders.read())
 
 
+@query
+def stream_redelivered(spark, sf):
+    """Two change files, then the first one's changes again in a later file: each change counts once."""
+    folder = scratch_dir(spark, "stream")
+    orders = Lakehouse(spark, f"{folder}/lake").table("silver.stg_orders")
+    orders.overwrite(_staged_orders(spark, sf))
+    times = (b.BATCH_1, b.BATCH_2, "2026-01-09 00:00:00")
+    for raw, number, at in zip((b.raw_batch_1, b.raw_batch_2, b.raw_batch_1), "121", times):
+        rows = raw(spark, sf).select(*ORDERS.columns, OP, F.lit(number).alias("_cdc_seq"))
+        write_csv(rows.repartition(2, ORDERS.key), f"{folder}/cdc", mode="append")
+        apply_change_files(
+            spark,
+            f"{folder}/cdc",
+            ORDERS,
+            orders,
+            f"{folder}/checkpoint",
+            preserve=["ingestion_time"],
+            clock=lambda at=at: at,
+            extra=["_cdc_seq"],
+            once_by=[ORDERS.key, "_cdc_seq"],
+        ).awaitTermination()
+    return portable(orders.read())
+
+
 @query
 def build_two_rounds(spark, sf):
     """The whole build three times: a first load, then a change batch before each later run."""
