@@ -36,15 +36,14 @@ def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], row: str, n:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``(node, component)`` of every node of ``edges (a, b)``; the component is its smallest node.
+    """``(node, component)`` of every node of ``edges (a, b)``, a stored table; the component is its smallest node.
 
     Alternates two steps until every link leads to the smallest node of its component: every node links its
     larger neighbours, then its smaller ones, to the smallest node it knows.  The number of rounds grows with the
     logarithm of the longest path.  Minima are taken by map-side aggregation and applied by joins, so that a node with
     very many neighbours is no single task's work.  Each step is a written table.
     """
-    links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links, _ = stored(links, "links")
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
         # Larger neighbours go to the smallest one in the neighbourhood.
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -83,7 +82,7 @@ def with_links(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         own = labels.select(F.col("node").alias(end), F.col("component").alias("_own"))
         links = links.join(own, end, "left").withColumn(end, F.coalesce("_own", end)).drop("_own")
-    joined = stored(components(links), "joined")[0]
+    joined = stored(components(stored(links, "contracted")[0]), "joined")[0]
     merged = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_new")), "component", "left")
     merged = merged.select("node", F.coalesce("_new", "component").alias("component"))
     return stored(merged.union(joined.join(labels, "node", "left_anti").select("node", "component")), "labels")[0]

@@ -188,12 +188,14 @@ def near_duplicates(
     known = sketch.where("n_shingles > 0 and id is not null")
 
     # Classes of equal sets.  Any row can stand for its class, so the buckets of the first id do.
-    classes = known.groupBy("a", "b").agg(F.min("id").alias("class"), F.count("*").alias("copies"))
+    first = F.min(F.struct("id", "n_shingles", "buckets")).alias("first")
+    classes = known.groupBy("a", "b").agg(first, F.count("*").alias("copies"))
+    classes = classes.select("a", "b", "copies", F.col("first.id").alias("class"), "first.n_shingles", "first.buckets")
     classes, _ = stored(classes, "classes")
     several = known.groupBy("id").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi")
     several, seen = stored(several.select("id", F.lit(True).alias("several")), "several", n=number)
     shared_ids = seen["n"] > 0
-    own = known.join(classes.select("a", "b", F.col("class").alias("id")), ["a", "b", "id"], "left_semi")
+    own = classes.select(F.col("class").alias("id"), "n_shingles", "buckets")
     if shared_ids:
         # No bound holds for an id of several sets, as any of them may make a link: it has no size and no bitmap.
         size = F.when(F.col("several").isNull(), F.col("n_shingles"))
@@ -221,7 +223,7 @@ def near_duplicates(
     bitmaps = sets.select(F.col("class").alias("node"), "slack", *_BITS)
     if shared_ids:
         bitmaps = bitmaps.join(several.select(F.col("id").alias("node")), "node", "left_anti").distinct()
-    open_, _ = stored(entries.drop("n").join(degrees, "node").join(bitmaps, "node", "left"), "open")
+    open_, _ = stored(entries.join(degrees, "node").join(bitmaps, "node", "left"), "open")
 
     labels = None
     if shared_ids:
@@ -238,17 +240,21 @@ def near_duplicates(
     allowed = f"{100 + percent} * ({common_bits} + least(slack, centre_slack)) >= {percent} * (size + centre_size)"
     number_of_round = 0
     while open_ is not None:
-        state = open_.withColumn("component", F.col("node"))
-        if labels is not None:
-            state = open_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = state.groupBy("bucket").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")
-        )
-        split = split.where("lo <> hi").select("bucket", "n", F.ceil(F.col("n") / SLICE).alias("parts"))
-        state = dealt_join(state, split, ["bucket"], "node", "n", rows * bands)
-        state = state.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), "parts"))
         many = F.col("n") > FEW_MEMBERS
-        state, seen = stored(state, f"stars-{number_of_round}", n=number, many=F.count_if(many))
+        if labels is None:
+            # No two members of a bucket are linked yet.
+            state = open_.withColumns({"component": F.col("node"), "parts": F.ceil(F.col("n") / SLICE)})
+            seen = {"n": rows}
+        else:
+            state = open_.drop("n").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            split = state.groupBy("bucket").agg(
+                F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")
+            )
+            split = split.where("lo <> hi").select("bucket", "n", F.ceil(F.col("n") / SLICE).alias("parts"))
+            state = dealt_join(state, split, ["bucket"], "node", "n", rows * bands)
+        state = state.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), "parts"))
+        if number_of_round or labels is not None:
+            state, seen = stored(state, f"stars-{number_of_round}", n=number, many=F.count_if(many))
         if not seen["n"]:
             break
         member = F.struct("node", "component", "size", "parts", "slack", *_BITS)
@@ -299,7 +305,7 @@ def near_duplicates(
             confirmed, found = stored(confirmed, f"confirmed-{number_of_round}", n=number)
             if found["n"]:
                 labels = with_links(labels, confirmed)
-        keep = ["bucket", "node", "size", "degree", "slack", *_BITS]
+        keep = ["bucket", "node", "size", "n", "degree", "slack", *_BITS]
         if number_of_round == 0:
             open_ = state.select(*keep)
         elif seen["many"]:
