@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import slot_of
@@ -16,6 +16,7 @@ from strata.schema import OP
 
 __all__ = [
     "Accepted",
+    "CheckFailed",
     "CurrentFlag",
     "NoOverlap",
     "NotNull",
@@ -33,6 +34,7 @@ __all__ = [
     "run_suite",
     "unique_failures",
     "version_growth",
+    "watched",
 ]
 
 
@@ -248,17 +250,54 @@ def _row_condition(rule: Rule) -> Column | None:
     return None
 
 
+class CheckFailed(Exception):
+    """A quality rule found offending rows."""
+
+    def __init__(self, report: Sequence):
+        failed = [r for r in report if r["failures"]]
+        texts = [f"{r['rule']} on {r['table_name']}.{r['column_name']}: {r['failures']}" for r in failed]
+        super().__init__("; ".join(texts))
+
+
+def is_row_rule(rule: Rule) -> bool:
+    """Whether a row alone can break the rule, so that it can be judged while rows are written."""
+    return _row_condition(rule) is not None
+
+
+def watched(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Callable[[], list[Row]]]:
+    """``df``, and what gives its report on the row rules once it has been written: no scan of its own.
+
+    The report's rows are those of ``run_suite``.  A task that runs again may count rows twice, never miss one.
+    """
+    own = [r for r in rules if is_row_rule(r)]
+    if not own:
+        return df, list
+    seen = Observation()
+    df = df.observe(seen, *[F.count_if(_row_condition(r)).alias(f"_{i}") for i, r in enumerate(own)])
+
+    def report() -> list[Row]:
+        counts = seen.get
+        return [
+            Row(rule=_NAMES[type(r)], table_name=r.table, column_name=r.column, failures=counts[f"_{i}"])
+            for i, r in enumerate(own)
+        ]
+
+    return df, report
+
+
+_NAMES = {
+    Unique: "unique",
+    NotNull: "not_null",
+    Accepted: "accepted_values",
+    Related: "relationships",
+    NoOverlap: "no_overlap",
+    CurrentFlag: "current_flag",
+}
+
+
 def _entry(rule: Rule, failures: Column) -> list[Column]:
-    name = {
-        Unique: "unique",
-        NotNull: "not_null",
-        Accepted: "accepted_values",
-        Related: "relationships",
-        NoOverlap: "no_overlap",
-        CurrentFlag: "current_flag",
-    }[type(rule)]
     return [
-        F.lit(name).alias("rule"),
+        F.lit(_NAMES[type(rule)]).alias("rule"),
         F.lit(rule.table).alias("table_name"),
         F.lit(rule.column).alias("column_name"),
         failures.cast("bigint").alias("failures"),

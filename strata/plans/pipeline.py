@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 
 from strata.operators.history import scd2_step
-from strata.operators.quality import Related, Rule, run_suite
+from strata.operators.quality import CheckFailed, Related, Rule, is_row_rule, run_suite
 from strata.plans import models as m
 from strata.schema import PORTFOLIOS
 from strata.sources.files import read_full_load
@@ -17,10 +18,6 @@ from strata.streaming.files import apply_change_files
 MODES = ("run", "test", "build")
 
 
-class CheckFailed(Exception):
-    """A quality rule found offending rows."""
-
-
 def _tables_of(rule: Rule) -> set[str]:
     return {rule.table, rule.parent} if isinstance(rule, Related) else {rule.table}
 
@@ -38,7 +35,8 @@ def build(
     A table without a version is loaded in full, otherwise the change files that
     no run has applied yet are, one after the other as they were written; which
     were is kept in ``_applied/`` beside the tables.  All audit and version times of a run are one instant.  In
-    ``build`` the rules of a table stop the run before a later table reads it.
+    ``build`` the rules that a row alone can break are judged while a table is written, which is not shown if one is
+    broken; all other rules of a table stop the run before a later table reads it.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
@@ -46,40 +44,38 @@ def build(
     version_ts = batch_ts.astimezone(timezone.utc).replace(tzinfo=None) if batch_ts.tzinfo else batch_ts
     report, done = [], set()
 
-    def check(after: str) -> None:
-        """All rules whose tables are now built."""
+    def rules_of(name: str) -> list[Rule]:
+        return [r for r in m.RULES if r.table == name and is_row_rule(r)] if mode == "build" else []
+
+    def check(after: str, written: list | None = None) -> None:
+        """All rules whose tables are now built, but for those that were judged by the write itself."""
         done.add(after)
         if mode == "run":
             return
         rules = [r for r in m.RULES if after in _tables_of(r) and _tables_of(r) <= done]
+        if written:
+            rules = [r for r in rules if not is_row_rule(r)]
+            report.extend(written)
         tables = {t: _reader(lake, t) for r in rules for t in _tables_of(r)}
-        rows = run_suite(tables, rules).collect()  # one row per rule
+        rows = run_suite(tables, rules).collect() if rules else []  # one row per rule
         report.extend(rows)
-        failed = [r for r in rows if r["failures"]]
-        if failed and mode == "build":
-            raise CheckFailed(
-                "; ".join(
-                    f"{r['rule']} on {r['table_name']}.{r['column_name']}: {r['failures']}"
-                    for r in failed
-                )
-            )
+        if mode == "build" and any(r["failures"] for r in rows):
+            raise CheckFailed(rows)
 
     for name, entity in m.STAGED.items():
-        if mode != "test":
-            _stage(lake, bronze, name, entity, batch_ts)
-        check(name)
+        written = _stage(lake, bronze, name, entity, batch_ts, rules_of(name)) if mode != "test" else None
+        check(name, written)
 
-    if mode != "test":
-        _dimension(lake, bronze, version_ts)
-    check(m.DIM_PORTFOLIO)
+    written = _dimension(lake, bronze, version_ts, rules_of(m.DIM_PORTFOLIO)) if mode != "test" else None
+    check(m.DIM_PORTFOLIO, written)
 
+    gold = lake.table(m.FCT_REVENUE)
     if mode != "test":
-        lake.table(m.FCT_REVENUE).overwrite(
-            m.fct_portfolio_revenue(
-                _reader(lake, m.STG_ORDERS), _reader(lake, m.DIM_PORTFOLIO), version_ts
-            )
+        revenue = m.fct_portfolio_revenue(
+            _reader(lake, m.STG_ORDERS), _reader(lake, m.DIM_PORTFOLIO), version_ts
         )
-    check(m.FCT_REVENUE)
+        gold.overwrite(revenue, rules=rules_of(m.FCT_REVENUE))
+    check(m.FCT_REVENUE, gold.report)
     return report
 
 
@@ -87,16 +83,17 @@ def _reader(lake: Lakehouse, name: str) -> DataFrame:
     return (lake.history(name) if name == m.DIM_PORTFOLIO else lake.table(name)).read()
 
 
-def _stage(lake: Lakehouse, bronze: str, name: str, entity, batch_ts) -> None:
+def _stage(lake: Lakehouse, bronze: str, name: str, entity, batch_ts, rules: list[Rule]) -> list:
+    """Load the table or bring in what has arrived; returns the report of its last write, if there was one."""
     table, folder = lake.table(name), f"{bronze}/{entity.name}"
     if not table.exists():
         raw = read_full_load(lake.spark, folder, entity)
-        table.overwrite(m.staged_baseline(raw, entity, batch_ts))
-        return
+        table.overwrite(m.staged_baseline(raw, entity, batch_ts), rules=rules)
+        return table.report
     files = Files(lake.spark, folder)
     if not any(n.endswith(".csv") for n in files.names(f"{folder}/cdc")):
-        return
-    apply_change_files(
+        return []
+    stream = apply_change_files(
         lake.spark,
         f"{folder}/cdc",
         entity,
@@ -104,14 +101,23 @@ def _stage(lake: Lakehouse, bronze: str, name: str, entity, batch_ts) -> None:
         f"{lake.root}/_applied/{name}",
         preserve=m.PRESERVED,
         clock=lambda: batch_ts,
-    ).awaitTermination()
-
-
-def _dimension(lake: Lakehouse, bronze: str, version_ts) -> None:
+        rules=rules,
+    )
+    try:
+        stream.awaitTermination()
+    except StreamingQueryException:
+        if table.broken is not None:
+            raise table.broken from None
+        raise
+    return table.report
+
+
+def _dimension(lake: Lakehouse, bronze: str, version_ts, rules: list[Rule]) -> list:
     table = lake.history(m.DIM_PORTFOLIO)
     raw = read_full_load(lake.spark, f"{bronze}/{PORTFOLIOS.name}", PORTFOLIOS)
     if not table.exists():
-        table.overwrite(m.portfolio_versions(raw))
-        return
+        table.overwrite(m.portfolio_versions(raw), rules=rules)
+        return table.report
     versions = m.portfolio_versions(raw, version_ts)
-    table.advance(lambda present: scd2_step(present, versions, PORTFOLIOS.key, version_ts))
+    table.advance(lambda present: scd2_step(present, versions, PORTFOLIOS.key, version_ts), rules=rules)
+    return table.report

@@ -13,13 +13,15 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.quality import CheckFailed, Rule, watched
+
 
 class Files:
     """The few file-system calls the layout needs, on whatever store the path names."""
@@ -99,6 +101,9 @@ class Table:
         self.path = f"{root.rstrip('/')}/{self.namespace}/{self.short_name}"
         self.bucket_by = bucket_by
         self._files = Files(spark, self.path)
+        #: What the row rules of the last write found, one row per rule, and the error if they kept it back.
+        self.report: list = []
+        self.broken: CheckFailed | None = None
 
     # -- commits ---------------------------------------------------------
     def versions(self) -> list[int]:
@@ -148,39 +153,60 @@ class Table:
             return self.spark.read.schema(entry["schema"]).parquet(folder)
         return self.spark.table(self._external(self.spark, entry))
 
-    def overwrite(self, df: DataFrame, batch: int | None = None) -> int:
-        """Write ``df`` as the next version, also if it reads the present one."""
+    def overwrite(self, df: DataFrame, batch: int | None = None, rules: Sequence[Rule] = ()) -> int:
+        """Write ``df`` as the next version, also if it reads the present one.
+
+        Row ``rules`` are judged while the rows are written; if one is broken, the rows go and ``CheckFailed`` is raised.
+        """
         if self.bucket_by is not None:
             # One task per bucket writes one file per bucket, not one per task and bucket.
             column, n = self.bucket_by
             df = df.repartition(n, column)
-        return self._write(df, batch)
+        return self._write(df, batch, rules)
 
-    def update(self, change: Callable[[DataFrame], DataFrame], batch: int | None = None) -> int:
+    def update(
+        self, change: Callable[[DataFrame], DataFrame], batch: int | None = None, rules: Sequence[Rule] = ()
+    ) -> int:
         """Write ``change(present rows)`` as the next version.
 
         The rows are written where the change left them: those of a bucketed
         table already sit in the task of their bucket.
         """
-        return self._write(change(self.read()), batch)
+        return self._write(change(self.read()), batch, rules)
 
     def merge(
-        self, keys: DataFrame, change: Callable[[DataFrame], DataFrame], batch: int | None = None
+        self,
+        keys: DataFrame,
+        change: Callable[[DataFrame], DataFrame],
+        batch: int | None = None,
+        rules: Sequence[Rule] = (),
     ) -> int:
         """As ``update``, for a change that touches rows of ``keys`` only (its one column is the key)."""
-        return self.update(change, batch)
+        return self.update(change, batch, rules)
 
-    def _write(self, df: DataFrame, batch: int | None) -> int:
+    def _write(self, df: DataFrame, batch: int | None, rules: Sequence[Rule] = ()) -> int:
         version, writer = self._next(), _new_writer()
         folder = self._folder(version, writer)
+        rows, report = watched(df, rules)
         if self.bucket_by is None:
-            df.write.parquet(folder)
+            rows.write.parquet(folder)
         else:
             column, n = self.bucket_by
-            placed = df.write.option("path", folder).bucketBy(n, column).sortBy(column)
+            placed = rows.write.option("path", folder).bucketBy(n, column).sortBy(column)
             placed.saveAsTable(self._holder(version, writer))
+        self._judge(report(), version, writer)
         return self._publish(df, version, writer=writer, batch=batch)
 
+    def _judge(self, report: list, version: int, writer: str) -> None:
+        """Keep back what breaks a rule: nobody can have seen it yet."""
+        self.report, self.broken = report, None
+        if any(r["failures"] for r in report):
+            if self.bucket_by is not None:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._holder(version, writer)}")
+            self._files.delete(self._folder(version, writer))
+            self.broken = CheckFailed(report)
+            raise self.broken
+
     def vacuum(self, keep: int = 1) -> list[int]:
         """Drop all but the last ``keep`` versions; returns the dropped ones."""
         if keep < 1:
@@ -243,69 +269,72 @@ class Table:
         return holder
 
 
-class SlicedTable(Table):
-    """A table in ``n`` slices by a hash of its key; a merge reads and writes touched slices only.
+class SlicedTable:
+    """A table partitioned by a hash of its key into ``n`` slices; a merge reads and writes touched slices only.
 
-    The commit names the folder that holds the present rows of each slice.
+    Spark's dynamic partition overwrite replaces the slices that a write has rows of, from rows of the same
+    folder too, and leaves all others as they are.  Each written slice has one row without a key, so that a slice that
+    lost its last row is replaced as well.  A write that is cut short is to be made again: merging a batch twice
+    gives the same rows.  There are no older versions; readers that must not see a write happen read in between.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str, key: str, n: int):
-        super().__init__(spark, root, name)
-        self.key, self.n = key, n
+        self.spark, self.name, self.key, self.n = spark, name, key, n
+        self.namespace, self.short_name = name.split(".")
+        self.path = f"{root.rstrip('/')}/{self.namespace}/{self.short_name}"
+        self._files = Files(spark, self.path)
+
+    def exists(self) -> bool:
+        return any(n.startswith("_slice=") for n in self._files.names(f"{self.path}/rows"))
 
     def _slice_of(self, column: str, kind: str):
         return F.pmod(F.xxhash64(F.col(column).cast(kind)), F.lit(self.n)).cast("int")
 
-    def read(self, version: int | None = None, slices: set[int] | None = None) -> DataFrame:
-        entry = self.commit(version)
-        paths = [
-            f"{self._folder(v, writer)}/_slice={k}"
-            for k, (v, writer) in entry["slices"].items()
-            if slices is None or int(k) in slices
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], entry["schema"])
-        return self.spark.read.schema(entry["schema"]).parquet(*paths)
+    def _stored(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/rows")
 
-    def merge(
-        self, keys: DataFrame, change: Callable[[DataFrame], DataFrame], batch: int | None = None
-    ) -> int:
-        entry = self.commit()
-        kind = self.read().schema[self.key].dataType.simpleString()
-        touched = keys.select(self._slice_of(keys.columns[0], kind).alias("k")).distinct()
-        touched = {r["k"] for r in touched.collect()}  # at most n numbers
-        kept = {k: place for k, place in entry["slices"].items() if int(k) not in touched}
-        return self._write_slices(change(self.read(slices=touched)), kept, batch)
+    def read(self, slices: Sequence[int] | None = None) -> DataFrame:
+        rows = self._stored().filter(F.col(self.key).isNotNull())
+        return (rows if slices is None else rows.filter(F.col("_slice").isin(list(slices)))).drop("_slice")
 
-    def _write(self, df: DataFrame, batch: int | None) -> int:
-        return self._write_slices(df, {}, batch)
+    def overwrite(self, df: DataFrame, batch: int | None = None) -> None:
+        self._write(df, range(self.n), batch)
 
-    def _write_slices(self, df: DataFrame, kept: dict, batch: int | None) -> int:
-        version, writer = self._next(), _new_writer()
-        folder = self._folder(version, writer)
+    def merge(self, keys: DataFrame, change: Callable[[DataFrame], DataFrame], batch: int | None = None) -> None:
+        """Write ``change(rows of the touched slices)``; it touches rows of ``keys`` only (its one column is the key)."""
+        kind = self._stored().schema[self.key].dataType.simpleString()
+        touched = keys.select(self._slice_of(keys.columns[0], kind).alias("k")).distinct()
+        touched = sorted(r["k"] for r in touched.collect())  # at most n numbers
+        if touched:
+            self._write(change(self.read(touched)), touched, batch)
+
+    def _write(self, df: DataFrame, slices: Sequence[int], batch: int | None) -> None:
         kind = df.schema[self.key].dataType.simpleString()
-        rows = df.withColumn("_slice", self._slice_of(self.key, kind)).hint("rebalance", "_slice")
-        rows.write.partitionBy("_slice").parquet(folder)
-        names = [n.removeprefix("_slice=") for n in self._files.names(folder) if n.startswith("_slice=")]
-        slices = kept | {k: [version, writer] for k in names}
-        return self._publish(df, version, writer=writer, slices=slices, batch=batch)
+        marks = self.spark.createDataFrame([(k,) for k in slices], "_slice int")
+        rows = df.withColumn("_slice", self._slice_of(self.key, kind)).unionByName(marks, allowMissingColumns=True)
+        writer = rows.hint("rebalance", "_slice").write.mode("overwrite").partitionBy("_slice")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/rows")
+        if batch is not None:
+            done = self.spark.createDataFrame([(batch,)], "batch long").coalesce(1)
+            done.write.mode("overwrite").parquet(f"{self.path}/batch")
 
-    def _forget(self, entry: dict, oldest_kept: int) -> None:
-        used = {tuple(place) for v in self.versions() for place in self.commit(v)["slices"].values()}
-        if (entry["version"], entry["writer"]) not in used:
-            self._files.delete(f"{self.path}/data/v={entry['version']}")
+    def last_batch(self) -> int | None:
+        """The stream batch that was written last; one that was cut short after its rows is merged again."""
+        if not self._files.exists(f"{self.path}/batch/_SUCCESS"):
+            return None
+        return self.spark.read.parquet(f"{self.path}/batch").first()["batch"]
 
-    def _select(self, spark: SparkSession, entry: dict) -> str:
-        columns = ", ".join(f"`{c}`" for c in _names(entry["schema"]))
-        folders: dict[tuple, list[str]] = {}
-        for k, place in entry["slices"].items():
-            folders.setdefault(tuple(place), []).append(k)
-        parts = []
-        for (v, writer), own in folders.items():
-            holder = self._parts_entry(spark, entry["schema"], v, writer, "_slice INT")
-            parts.append(f"SELECT {columns} FROM {holder} WHERE _slice IN ({', '.join(own)})")
-        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in _fields(entry["schema"]))
-        return " UNION ALL ".join(parts) or f"SELECT {nothing} WHERE false"
+    def register(self, session: SparkSession | None = None) -> None:
+        """Make the rows readable as ``namespace.table`` and ``table``."""
+        spark = session or self.spark
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
+        columns = ", ".join(f"`{f}`" for f in self._stored().columns if f != "_slice")
+        holder = f"{self.namespace}.{self.short_name}__{hashlib.md5(self.path.encode()).hexdigest()[:8]}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {holder} USING parquet LOCATION '{self.path}/rows'")
+        spark.catalog.recoverPartitions(holder)
+        spark.catalog.refreshTable(holder)
+        spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {columns} FROM {holder} WHERE `{self.key}` IS NOT NULL")
+        spark.table(self.name).createOrReplaceTempView(self.short_name)
 
 
 class HistoryTable(Table):
@@ -334,33 +363,40 @@ class HistoryTable(Table):
     def _part(self, entry: dict, current: bool) -> DataFrame:
         """The open versions of the last round, or the closed ones of all rounds."""
         rounds = entry["rounds"][-1:] if current else entry["rounds"]
-        paths = [f"{self._folder(v, writer)}/is_current={str(current).lower()}" for v, writer in rounds]
-        paths = [path for path in paths if self._files.exists(path)]
+        part = f"is_current={str(current).lower()}"
+        paths = [f"{self._folder(v, writer)}/{part}" for v, writer, parts in rounds if part in parts]
         if not paths:
             return self.spark.createDataFrame([], entry["schema"])
         stored = T.StructType([f for f in _fields(entry["schema"]) if f.name != "is_current"])
         rows = self.spark.read.schema(stored).parquet(*paths)
         return rows.withColumn("is_current", F.lit(current)).select(*_names(entry["schema"]))
 
-    def _write_round(self, rows: DataFrame, rounds: list, batch: int | None) -> int:
+    def _write_round(self, df: DataFrame, rounds: list, batch: int | None, rules: Sequence[Rule]) -> int:
         version, writer = self._next(), _new_writer()
-        rows.write.partitionBy("is_current").parquet(self._folder(version, writer))
-        rounds = [*rounds, [version, writer]]
-        return self._publish(rows, version, writer=writer, rounds=rounds, batch=batch)
-
-    def overwrite(self, df: DataFrame, batch: int | None = None) -> int:
-        return self._write_round(df, [], batch)
-
-    def advance(self, step: Callable[[DataFrame], DataFrame], batch: int | None = None) -> int:
+        folder = self._folder(version, writer)
+        rows, report = watched(df, rules)
+        rows.write.partitionBy("is_current").parquet(folder)
+        self._judge(report(), version, writer)
+        # Which parts a round has is noted once, so that no reader asks the store for each of them.
+        parts = sorted(n for n in self._files.names(folder) if n.startswith("is_current="))
+        rounds = [*rounds, [version, writer, parts]]
+        return self._publish(df, version, writer=writer, rounds=rounds, batch=batch)
+
+    def overwrite(self, df: DataFrame, batch: int | None = None, rules: Sequence[Rule] = ()) -> int:
+        return self._write_round(df, [], batch, rules)
+
+    def advance(
+        self, step: Callable[[DataFrame], DataFrame], batch: int | None = None, rules: Sequence[Rule] = ()
+    ) -> int:
         """Apply ``step`` to the open versions: its open rows replace them, its
-        closed rows join the history."""
+        closed rows join the history.  ``rules`` are judged on the rows of this round."""
         rounds = self.commit()["rounds"]
-        return self._write_round(step(self.open_versions()), rounds, batch)
+        return self._write_round(step(self.open_versions()), rounds, batch, rules)
 
     def _forget(self, entry: dict, oldest_kept: int) -> None:
         # The closed versions of a round stay while a kept version has it among its rounds.
         version, writer = entry["version"], entry["writer"]
-        if [version, writer] in self.commit(oldest_kept)["rounds"]:
+        if [version, writer] in [r[:2] for r in self.commit(oldest_kept)["rounds"]]:
             self._files.delete(f"{self._folder(version, writer)}/is_current=true")
         else:
             self._files.delete(f"{self.path}/data/v={version}")
@@ -368,7 +404,7 @@ class HistoryTable(Table):
     def _select(self, spark: SparkSession, entry: dict) -> str:
         columns = ", ".join(f"`{c}`" for c in _names(entry["schema"]))
         parts = []
-        for v, writer in entry["rounds"]:
+        for v, writer, _ in entry["rounds"]:
             holder = self._parts_entry(spark, entry["schema"], v, writer, "is_current")
             wanted = "" if v == entry["version"] else " WHERE NOT is_current"
             parts.append(f"SELECT {columns} FROM {holder}{wanted}")

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators.changes import merge_changes
 from strata.operators.conform import conform
 from strata.operators.history import scd2_backlog, scd2_step
+from strata.operators.quality import Rule
 from strata.schema import ARRIVAL, Entity
 from strata.sources.files import CORRUPT, read_csv_files, split_corrupt, stream_csv
 from strata.sources.tables import HistoryTable, Table
@@ -56,6 +57,7 @@ def apply_change_files(
     rejects: str | None = None,
     once_by: Sequence[str] = (),
     within: str = "7 days",
+    rules: Sequence[Rule] = (),
 ) -> StreamingQuery:
     """Merge the change files of a folder into a table that has a baseline.
 
@@ -65,14 +67,15 @@ def apply_change_files(
     row by the ``extra`` columns wins.
 
     ``rejects`` names a folder for lines that do not have the header's shape, each batch's beside
-    the others'; without it they end the stream.  ``once_by`` and ``within`` are those of ``merge_stream``.
+    the others'; without it they end the stream.  ``once_by``, ``within`` and
+    ``rules`` are those of ``merge_stream``.
     """
     schema = entity.raw_schema(changes=True)
     for c in extra:
         schema = schema.add(c, "string")
     rows = stream_csv(spark, folder, schema, max_files, archive, lenient=rejects is not None)
     return merge_stream(
-        rows, entity, table, checkpoint, preserve, clock, extra, ARRIVAL, rejects, once_by, within
+        rows, entity, table, checkpoint, preserve, clock, extra, ARRIVAL, rejects, once_by, within, rules
     )
 
 
@@ -88,6 +91,7 @@ def merge_stream(
     rejects: str | None = None,
     once_by: Sequence[str] = (),
     within: str = "7 days",
+    rules: Sequence[Rule] = (),
 ) -> StreamingQuery:
     """Merge any stream of raw change rows into a table that has a baseline.
 
@@ -100,6 +104,8 @@ def merge_stream(
     state holds the changes of that span and no row is ever late.
 
     ``rejects`` names a folder for the corrupt lines of a leniently read stream.
+
+    Row ``rules`` that a batch would break end the stream before the table shows the batch.
     """
     keep = [*order_by, *([sequence] if sequence else [])]
     if once_by:
@@ -144,6 +150,7 @@ def merge_stream(
                     sequence=sequence,
                 ),
                 batch=batch_id,
+                **({"rules": rules} if rules else {}),
             )
         finally:
             changes.unpersist()

@@ -2,11 +2,12 @@
 
 import os
 from datetime import date
+from pathlib import Path
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
-from support import rows, write_file
+from support import plan_of, rows, write_file
 
 from strata.operators.changes import merge_changes
 from strata.operators.conform import conform
@@ -213,21 +214,32 @@ def test_full_load_reads_quotes(spark, tmp_path):
 
 def test_a_merge_writes_the_slices_it_touches(spark, tmp_path):
     table = Lakehouse(spark, str(tmp_path / "lake")).sliced("silver.sliced", "id", 8)
+    assert not table.exists() and table.last_batch() is None
     table.overwrite(spark.range(1000).select("id", F.lit("a").alias("v")))
-    before = table.commit()["slices"]
-    assert len(before) == 8
+    assert table.exists()
+
+    def files():
+        return {p.relative_to(table.path) for p in Path(table.path).rglob("*.parquet") if "_slice=" in str(p)}
+
+    before = files()
     batch = spark.createDataFrame([(1, "b", "U"), (2, None, "D"), (5000, "n", "I")], "id long, v string, _cdc_op string")
-    table.merge(batch.select(F.col("id").cast("int")), lambda now: merge_changes(now, batch, "id"))
-    after = table.commit()["slices"]
-    assert 5 <= sum(before[k] == after[k] for k in before) < 8
+    table.merge(batch.select(F.col("id").cast("int")), lambda now: merge_changes(now, batch, "id"), batch=4)
+    assert len({p.parts[1] for p in before}) == 8
+    assert 1 <= len({p.parts[1] for p in before - files()}) <= 3  # all other slices keep their files
     got = dict(rows(table.read()))
     assert len(got) == 1000 and got[1] == "b" and got[5000] == "n" and 2 not in got and got[3] == "a"
+    assert table.last_batch() == 4
     table.register()
     assert dict(rows(spark.table("silver.sliced"))) == got
-    assert dict(rows(table.read(0)))[1] == "a"
-    assert table.vacuum(keep=1) == [0]
-    assert dict(rows(table.read())) == got  # untouched slices still lie in the first folder
-    table.update(lambda now: now.limit(0))
+    # A batch that is merged again changes nothing; one without keys writes nothing.
+    table.merge(batch.select("id"), lambda now: merge_changes(now, batch, "id"))
+    assert dict(rows(table.read())) == got
+    last = files()
+    table.merge(batch.select("id").limit(0), lambda now: now)
+    assert files() == last
+    # Slices that lose all their rows are replaced too.
+    table.merge(spark.range(6000).select("id"), lambda now: now.limit(0))
     assert table.read().count() == 0
     table.register()
     assert spark.table("silver.sliced").count() == 0
+    assert "_slice" in plan_of(table.read([3])).split("PartitionFilters: [")[1].split("]")[0]

@@ -147,6 +147,58 @@ def test_failed_check_stops_the_build_before_gold(spark, tmp_path, bronze):
     assert not lake.table(m.FCT_REVENUE).exists()
 
 
+def test_the_report_of_a_build_is_that_of_the_suite(spark, tmp_path, bronze):
+    """Row rules are judged by the writes: a load, a merge of change files, a round, a rebuild."""
+    from strata.operators.quality import run_suite
+    from strata.plans.pipeline import _reader
+
+    def plain(report):
+        return sorted((r["rule"], r["table_name"], r["column_name"], r["failures"]) for r in report)
+
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    for n, at in enumerate(RUNS):
+        if n:
+            add_changes(bronze, f"batch_{at.day}.csv")
+        report = build(lake, str(bronze), at)
+        tables = {t: _reader(lake, t) for t in (m.STG_ORDERS, m.STG_CLIENTS, m.STG_INVENTORY, m.DIM_PORTFOLIO, m.FCT_REVENUE)}
+        assert plain(report) == plain(run_suite(tables, m.RULES).collect())
+
+
+def test_a_write_that_breaks_a_row_rule_is_not_shown(spark, tmp_path, bronze):
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    build(lake, str(bronze), RUNS[0])
+    before = rows(lake.table(m.STG_ORDERS).read())
+    header = ",".join([*ORDERS.columns, "_cdc_op"])
+    write_file(bronze / "orders" / "cdc", "bad.csv", header, "77,101,1,1,2026-01-05,1.00,lost,I")
+    with pytest.raises(CheckFailed, match="accepted_values.*status: 1"):
+        build(lake, str(bronze), RUNS[1])
+    assert rows(lake.table(m.STG_ORDERS).read()) == before and lake.table(m.STG_ORDERS).versions() == [0]
+    # The file was not taken in: put right, it is.
+    write_file(bronze / "orders" / "cdc", "bad.csv", header, "77,101,1,1,2026-01-05,1.00,paid,I")
+    build(lake, str(bronze), RUNS[2])
+    assert lake.table(m.STG_ORDERS).read().filter("order_id = 77").count() == 1
+
+
+def test_watched_rows_are_counted_as_the_suite_counts_them(spark, tmp_path):
+    from strata.operators.quality import Accepted, CurrentFlag, NotNull, Unique, run_suite, watched
+
+    df = spark.sql(
+        "select * from values (1, 'a', true, null), (null, 'b', true, timestamp_ntz'2020-01-01'), (3, null, null, null)"
+        " as t(id, kind, is_current, valid_to)"
+    )
+    rules = [NotNull("t", "id"), Accepted("t", "kind", ("a",)), CurrentFlag("t"), Unique("t", "id")]
+    seen, report = watched(df, rules)
+    seen.write.parquet(str(tmp_path / "t"))
+    assert rows(run_suite({"t": df}, rules[:3])) == sorted(map(tuple, report()), key=repr)
+    assert [r["failures"] for r in report()] == [1, 1, 1]
+    same, nothing = watched(df, [Unique("t", "id")])
+    assert same is df and nothing() == []
+    table = Lakehouse(spark, str(tmp_path / "lake")).table("silver.t")
+    with pytest.raises(CheckFailed):
+        table.overwrite(df, rules=rules)
+    assert not table.exists() and [r["failures"] for r in table.report] == [1, 1, 1]
+
+
 def test_run_skips_checks_and_test_only_checks(spark, tmp_path, bronze):
     header = ",".join(ORDERS.columns)
     write_file(bronze / "orders", "sample.csv", header, "1,999,1,1,2026-01-05,1.00,lost")

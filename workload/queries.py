@@ -21,6 +21,7 @@ from strata.operators.changes import (
 )
 from strata.operators.conform import conform, split_rejects
 from strata.operators.dedup import first_per_key
+from strata.operators.digests import RangedSnapshot, diff_by_digests, diff_stored
 from strata.operators.distinct import count_members, distinct_bitmaps, merge_bitmaps
 from strata.operators.hierarchy import dense_index, extend_index, parent_catalog, propagate_parents
 from strata.operators.history import changed_keys, scd2_apply, scd2_as_of, scd2_backlog, scd2_current
@@ -272,6 +273,24 @@ def snapshot_diff(spark, sf):
     return diff_snapshots(before, after, "customer_id", PORTFOLIO_TRACKED)
 
 
+@query
+def snapshot_diff_digests(spark, sf):
+    """The same difference from digests of key ranges: rows of ranges with equal digests are not compared."""
+    before = portfolio_snapshot(b.raw_snapshot(spark, sf, 1))
+    after = portfolio_snapshot(b.raw_snapshot(spark, sf, 2))
+    return diff_by_digests(before, after, "customer_id", PORTFOLIO_TRACKED)
+
+
+@query
+def snapshot_diff_stored(spark, sf):
+    """The same from two snapshots stored by range, of which only the ranges that differ are read."""
+    folder = scratch_dir(spark, "ranged")
+    stored = [RangedSnapshot(spark, f"{folder}/{n}", "customer_id", PORTFOLIO_TRACKED) for n in (1, 2)]
+    for n, snapshot in enumerate(stored, 1):
+        snapshot.write(portfolio_snapshot(b.raw_snapshot(spark, sf, n)))
+    return diff_stored(*stored)
+
+
 @query
 def diff_round_trip(spark, sf):
     """Applying the difference of two snapshots to the first gives the second."""
