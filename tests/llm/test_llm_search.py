@@ -93,6 +93,96 @@ def test_every_passage_within_the_edit_limit_is_found(size, part):
     assert found >= {(k, k) for k in range(20)}
 
 
+@pytest.mark.parametrize("part", [(0, 1), (0, 0.5), (0.5, 1)])
+@pytest.mark.parametrize("size", [15, 25, 40, 100, 200, 300, 500])
+def test_recall_of_the_walks_alone(size, part):
+    """The runs switched off, as many edits as allowed."""
+    rng = random.Random(size)
+    texts = [prose(9000 + k, size, 3000) for k in range(20)]
+    rows = []
+    for k, text in enumerate(texts):
+        w = text.split()
+        low, high = int(part[0] * size), int(part[1] * size)
+        w[low:high] = edit(w[low:high], int(EDITS * size), rng)
+        around = prose(k, 200, 3000).split()
+        rows.append(" ".join(around[:101] + w + around[101:]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(rows)], names=["id", "text"])
+    search = _search(SimpleNamespace(value=(list(range(20)), texts)), None, EDITS, runs=False)
+    found = {(r["id"], r["item"]) for out in search(iter([batch])) for r in out.to_pylist()}
+    assert len(found & {(k, k) for k in range(20)}) >= 18
+
+
+def search_one(item, text):
+    batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([text])], names=["id", "text"])
+    return [r for out in _search(SimpleNamespace(value=([7], [item])), None, EDITS)(iter([batch])) for r in out.to_pylist()]
+
+
+@pytest.mark.parametrize("size", [401, 900])
+def test_long_items_are_verified_in_bands(size):
+    rng = random.Random(size)
+    item = prose(1, size, 3000)
+    for edits in (0, 3, 20, int(0.14 * size)):
+        w = edit(item.split(), edits, rng)
+        (got,) = search_one(item, " ".join(["q"] * 40 + w + ["q"] * 40))
+        own = ["q"] * 40 + w + ["q"] * 40
+        assert got["distance"] == distance(item.split(), own) <= edits
+        assert got["distance"] == distance(item.split(), own[got["start"] : got["end"]])
+
+
+def test_a_long_item_costs_in_proportion():
+    import time
+
+    item = prose(1, 8000, 3000)
+    began = time.process_time()
+    (got,) = search_one(item, item)
+    assert (got["distance"], got["start"], got["end"]) == (0, 0, 8000)
+    assert time.process_time() - began < 10
+
+
+def test_short_items_are_found_whole(spark):
+    rows = [(1, "we met the grey cat once"), (2, "the grey dog"), (3, "one two three FOUR five, six seven eight"), (4, "the  grey\ncat")]
+    short = [(5, "the grey cat"), (6, "dog"), (7, "two three four five sax seven eight")]
+    found = find_leaks(docs(spark, rows), item_table(spark, short)).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found} == {(1, 5, 0), (4, 5, 0), (2, 6, 0), (3, 7, 1)}
+    assert find_leaks(docs(spark, rows), item_table(spark, short), least_words=8).count() == 0
+
+
+def test_op7_query_against_all_places(spark):
+    """Every item at every place of every document."""
+
+    def plain(text):
+        out = []
+        for w in (text or "").translate({c: c + 32 for c in range(65, 91)}).split():
+            while len(w) > 1 and not (w[-1].isalnum() or ord(w[-1]) > 127):
+                w = w[:-1]
+            while len(w) > 1 and not (w[0].isalnum() or ord(w[0]) > 127):
+                w = w[1:]
+            out.append(hash(w))
+        return np.array(out, np.int64)
+
+    def least(item, text):
+        column = np.arange(len(text) + 1)
+        cost = np.zeros(len(text) + 1, np.int64)
+        for word in item:
+            new = cost + 1
+            new[1:] = np.minimum(new[1:], cost[:-1] + (text != word))
+            cost = np.minimum.accumulate(new - column) + column
+        return int(cost.min())
+
+    texts = [(r["doc_id"], plain(r["text"])) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = {}
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        item = plain(r["text"])
+        for doc, text in texts:
+            # At least as many of the item's words must be there as the edits leave.
+            if np.isin(item, text).sum() >= len(item) - int(EDITS * len(item)):
+                d = least(item, text)
+                if d <= int(EDITS * len(item)):
+                    want[doc, r["item_id"]] = min(d, want.get((doc, r["item_id"]), d))
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in queries.QUERIES["op7_leaks"](spark, SF).collect()}
+    assert got == want and len(want) > 5
+
+
 def test_verification_is_the_edit_distance(items):
     rng = random.Random(9)
     block = Items([i for i, _ in items], [t for _, t in items], 2, 0.15)
