@@ -29,6 +29,7 @@ HEADLINE = (
     "cdc_merge_orders",
     "cdc_merge_two_batches",
     "dim_after_snap3",
+    "dim_backlog",
     "pit_orders",
     "pit_orders_slots",
     "gold_portfolio_revenue",
