@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.classify import THRESHOLD, train
+from strata.llm.components import stored
 from strata.llm.compression import score
 from strata.llm.leaks import find_leaks
 from strata.llm.neardup import near_duplicates
@@ -91,9 +92,13 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's pieces, and the text that they decode to."""
+    """Each document's pieces, and the text that they decode to.
+
+    The pieces are stored in between: a task that encodes and decodes in one go holds two Python workers.
+    """
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return decode_pieces(encode_pieces(docs.select("doc_id", "text"), model), model)
+    pieces, _ = stored(encode_pieces(docs.select("doc_id", "text"), model), "pieces")
+    return decode_pieces(pieces, model)
 
 
 STAGES: list[tuple[str, Stage]] = [

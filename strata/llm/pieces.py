@@ -14,6 +14,7 @@ merge over the border would have come before.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -376,15 +377,19 @@ _encoders: dict[str, PieceEncoder] = {}
 
 
 def _shared(docs: DataFrame, path: str):
+    """The digest of the model file at ``path``, and what the executors need of it."""
     with open(path, "rb") as file:
-        model = Model(file.read())
-    return docs.sparkSession.sparkContext.broadcast((Lattice(model), model))  # some MB, as the model file
+        data = file.read()
+    model = Model(data)
+    # Some MB, as the model file.
+    return hashlib.md5(data).hexdigest(), docs.sparkSession.sparkContext.broadcast((Lattice(model), model))
 
 
-def _encoder(path: str, shared) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(*shared.value)
-    return _encoders[path]
+def _encoder(digest: str, shared) -> PieceEncoder:
+    """The worker's only copy of a model, for encoding and decoding; ``shared`` is read for the first use only."""
+    if digest not in _encoders:
+        _encoders[digest] = PieceEncoder(*shared.value)
+    return _encoders[digest]
 
 
 def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -393,10 +398,10 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     A null or empty text has no ids.  Repeated rows are encoded each; other columns are not read; an empty
     table gives no rows.  Nothing is shuffled.
     """
-    shared = _shared(docs, model)
+    digest, shared = _shared(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(model, shared)
+        encoder = _encoder(digest, shared)
         for batch in chunks(batches, "text"):
             ids, lengths = encoder.encode(batch.column("text").fill_null(""))
             offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
@@ -419,11 +424,11 @@ def decode_pieces(rows: DataFrame, model: str, ids_col: str = "ids", text_col: s
 
     Bytes that are no UTF-8 become the replacement character; control pieces have no text.
     """
-    shared = _shared(rows, model)
+    digest, shared = _shared(rows, model)
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = shared.value[0]
+        lattice = _encoder(digest, shared).lattice
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -449,10 +454,10 @@ def piece_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     A null text counts as empty.  Text that holds the model's own space mark comes back with a space.
     """
-    shared = _shared(docs, model)
+    digest, shared = _shared(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(model, shared)
+        encoder = _encoder(digest, shared)
         for batch in chunks(batches, "text"):
             texts = batch.column("text").fill_null("")
             ids, lengths = encoder.encode(texts)

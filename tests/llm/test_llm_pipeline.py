@@ -137,6 +137,12 @@ def test_whole_pipeline(spark, folder):
     assert all(r["text"] == library.decode(list(r["ids"])) and r["n_tokens"] == len(r["ids"]) for r in out)
 
 
+def test_a_task_of_the_pieces_holds_one_python_worker(spark, folder, capsys):
+    out = pipeline.to_pieces(spark, table(spark, ODD), folder)
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
 def test_registered():
     queries = entry.queries()
     assert queries["pipeline"] is pipeline.run

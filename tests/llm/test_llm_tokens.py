@@ -202,3 +202,14 @@ def test_long_runs_of_spaces_cost_in_proportion(pieces):
     began = time.process_time()
     assert len(encoder.whole(" " * 500_000)) > 10_000 and len(encoder.whole("word  " * 50_000)) >= 100_000
     assert time.process_time() - began < 10
+
+
+def test_a_worker_holds_one_copy_of_a_piece_model(spark, tmp_path):
+    """Encoding and decoding send the model each; the copy that comes second is not read, whatever its path."""
+    from strata.llm.pieces import _encoder, _shared
+
+    path = tmp_path / "a.model"
+    with open(PIECES, "rb") as file:
+        path.write_bytes(file.read())
+    (one, sent), (same, again) = (_shared(docs(spark, ODD), p) for p in (PIECES, str(path)))
+    assert _encoder(one, sent) is _encoder(same, again)
