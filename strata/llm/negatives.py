@@ -1,10 +1,10 @@
 """Hard negatives by slots of scores.
 
 Each of an anchor's positives asks for the best rows of other labels in a window of scores below its own.  The upper
-limits of these windows cut the scores into disjoint slots, descending.  Tiles of anchors and candidates are
-multiplied; in a tile, in a task and in every merge after it, each anchor keeps the best ``k`` rows of each slot and no
-more.  A window's rows are then those of its own slot and all lower ones: as slots descend, one list per anchor serves
-all of its windows, each a tail of that list cut at the window's lower limit.
+limits of these windows cut the scores into disjoint slots, descending.  Anchors are dealt into blocks that meet tiles of
+all rows; in a task and in the merge after it, each anchor keeps the best ``k`` rows of each slot and no more.  A
+window's rows are then those of its own slot and all lower ones: as slots descend, one list per anchor serves all of its
+windows, each a tail of that list cut at the window's lower limit.
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.topk import SCALE, TILE, _products, best
+from strata.llm.topk import LEAST_WIDTH, SCALE, TILE, Best, Matrix, against, alike, bounds, integers, places, products, reached, stored_tiles
 from strata.llm.words import ragged
 from strata.session import scratch_dir
 
-#: Rows of a shard group are merged before those of all groups are.
-GROUPS = 16
+_LISTS = "anchor long, slot int, other long, score long"
+_LOWEST, _HIGHEST = -(2**63), 2**63 - 1
 _TILES = "size int, ids array<long>, labels array<long>, small boolean, matrix binary"
 
 
@@ -59,89 +59,111 @@ def _pack(scale: int, extra: str = ""):
     return run
 
 
-def _matrix(batch: pa.RecordBatch, row: int, side: str, size: int, rows: int) -> np.ndarray:
-    kind = "<i2" if batch.column(f"{side}_small")[row].as_py() else "<i8"
-    data = batch.column(f"{side}_matrix")[row].as_buffer()
-    return np.frombuffer(data, kind).reshape(rows, size).astype(np.int64)
-
-
-def _highest(scores: np.ndarray, usable: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places that hold each row's ``k`` highest usable scores, and all that tie with the lowest of them."""
-    width = scores.shape[1]
-    if width > k:
-        masked = np.where(usable, scores, np.iinfo(np.int64).min)
-        least = np.partition(masked, width - k, axis=1)[:, width - k]
-        usable = usable & (scores >= least[:, None])
-    return np.nonzero(usable)
-
-
-def _tiles(choose, k: int):
-    """Products of tiles, of which ``choose`` names the slots and the best ``k`` of each anchor and slot stay."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for row in range(batch.num_rows):
-                size = batch.column("size")[row].as_py()
-                q_ids, c_ids = (np.asarray(batch.column(f"{s}_ids")[row].values) for s in "qc")
-                q_labels, c_labels = (np.asarray(batch.column(f"{s}_labels")[row].values) for s in "qc")
-                a, b = _matrix(batch, row, "q", size, len(q_ids)), _matrix(batch, row, "c", size, len(c_ids))
-                for slot, q, c, score in choose(batch, row, a, b, q_ids, c_ids, q_labels, c_labels):
-                    keep = best(q, score, c_ids[c], k)
-                    q, c, score = q[keep], c[keep], score[keep]
-                    found.append((np.full(len(q), batch.column("part")[row].as_py()), q_ids[q], np.full(len(q), slot), c_ids[c], score))
-            if found:
-                part, anchor, slot, other, score = (np.concatenate(x) for x in zip(*found))
-                if len(np.unique(part)) == 1 and len(found) > 1:
-                    # Anchors and slots as one key.
-                    key = np.unique(np.stack([anchor, slot]), axis=1, return_inverse=True)[1].reshape(-1)
-                    keep = best(key, score, other, k)
-                    part, anchor, slot, other, score = (x[keep] for x in (part, anchor, slot, other, score))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (part.astype(np.int32), anchor, slot.astype(np.int32), other, score)],
-                    names=["part", "anchor", "slot", "other", "score"],
-                )
-
-    return run
-
-
-def _positives(k: int):
-    def choose(batch, row, a, b, q_ids, c_ids, q_labels, c_labels):
-        # Tiles are sorted by label, so most pairs of tiles share none, and a shared one is a block of rows.
-        for label in np.intersect1d(q_labels, c_labels):
-            q, c = np.flatnonzero(q_labels == label), np.flatnonzero(c_labels == label)
-            scores = _products(a[q], b[c])
-            at, to = _highest(scores, q_ids[q][:, None] != c_ids[c][None, :], k)
-            yield 0, q[at], c[to], scores[at, to]
-
-    return _tiles(choose, k)
-
-
-def _negatives(k: int):
-    def choose(batch, row, a, b, q_ids, c_ids, q_labels, c_labels):
-        scores = _products(a, b)
-        limits = batch.column("q_limits")[row].as_py()  # of each anchor: the least score asked for, then its slots' tops
-        least = np.array([x[0] for x in limits])
-        usable = (q_labels[:, None] != c_labels[None, :]) & (scores >= least[:, None])
-        for slot in range(max(map(len, limits)) - 1):
-            own = np.flatnonzero([len(x) > slot + 1 for x in limits])
-            top = np.array([limits[x][slot + 1] for x in own])
-            inside = usable[own] & (scores[own] <= top[:, None])
-            below = np.array([limits[x][slot + 2] if len(limits[x]) > slot + 2 else least[x] - 1 for x in own])
-            inside &= scores[own] > below[:, None]
-            at, to = _highest(scores[own], inside, k)
-            yield slot, own[at], to, scores[own[at], to]
-
-    return _tiles(choose, k)
+class _Anchors:
+    """Anchors of one length in the order of their labels, at most as many as a tile has rows, and what they keep."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, values: np.ndarray, limits: list | None, k: int):
+        self.ids, self.labels, self.matrix = ids, labels, Matrix(values)
+        self.kinds = np.unique(labels)
+        # Of each anchor: the least score asked for, then its slots' tops; without limits one slot takes all.
+        limits = limits or [[_LOWEST, _HIGHEST]] * len(ids)
+        self.slots = np.array([len(x) - 1 for x in limits])
+        self.width = max(int(self.slots.max()), 1)
+        self.tops = np.array([x[1:] + [_LOWEST] * (self.width - len(x) + 1) for x in limits], np.int64)
+        above = np.append(self.tops[:, 1:], np.full((len(ids), 1), _LOWEST), axis=1)  # the next slot's top
+        above = np.where(np.arange(1, self.width + 1) < self.slots[:, None], above + 1, _LOWEST)
+        least = np.maximum(above, np.array([x[0] for x in limits], np.int64)[:, None])
+        self.used = np.arange(self.width) < self.slots[:, None]
+        self.best = Best(least.reshape(-1), k)
+
+    def least(self) -> np.ndarray:
+        """What each slot still takes."""
+        return np.where(self.used, self.best.least.reshape(-1, self.width), _HIGHEST)
+
+    def add(self, anchors: np.ndarray, scores: np.ndarray, others: np.ndarray) -> None:
+        """Scores that lie below the first slot's top."""
+        slots = np.maximum((self.tops[anchors] >= scores[:, None]).sum(axis=1), 1)
+        slots = np.minimum(slots, self.slots[anchors]) - 1
+        self.best.add(anchors * self.width + slots, scores, others)
+
+
+def _walk(tile, k: int):
+    """All tiles against the anchors of a block; ``tile`` names what may be among an anchor's best."""
+
+    def search(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            anchors: dict[int, list[_Anchors]] = {}
+            table = shared.value
+            for size, rows, ids, values in alike(table):
+                labels = np.concatenate([np.asarray(table.column("labels")[r].values) for r in rows])
+                limits = None
+                if "limits" in table.column_names:
+                    limits = [x for r in rows for x in table.column("limits")[r].as_py()]
+                order = np.lexsort((ids, labels))
+                for at in range(0, len(order), TILE):
+                    part = order[at : at + TILE]
+                    own = [limits[x] for x in part] if limits else None
+                    anchors.setdefault(size, []).append(_Anchors(ids[part], labels[part], values[part], own, k))
+            for batch in batches:
+                for row, size in enumerate(batch.column("size").to_pylist()):
+                    others, labels = (np.asarray(batch.column(c)[row].values) for c in ("ids", "labels"))
+                    matrix, kinds = Matrix(integers(batch, row, size)), np.unique(labels)
+                    for own in anchors.get(size, ()):
+                        tile(own, others, labels, kinds, matrix, k)
+            for own in (x for parts in anchors.values() for x in parts):
+                lists, other, score = own.best.rows()
+                anchor, slot = np.divmod(lists, own.width)
+                columns = [pa.array(x) for x in (own.ids[anchor], slot.astype(np.int32), other, score)]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "slot", "other", "score"])
+
+        return run
+
+    return search
+
+
+def _positives(own: _Anchors, others: np.ndarray, labels: np.ndarray, kinds: np.ndarray, matrix: Matrix, k: int) -> None:
+    # Tiles are sorted by label, so most pairs of tiles share none, and a shared one is a block of rows.
+    for label in np.intersect1d(own.kinds, kinds):
+        q, c = (slice(*(int(np.searchsorted(x, label, side)) for side in ("left", "right"))) for x in (own.labels, labels))
+        scores = products(own.matrix, matrix, q, c)
+        least = own.best.least[q]
+        rows = reached(scores, least)
+        if len(rows):
+            scores = scores[rows]
+            at, to = places(scores, scores >= bounds(least[rows], scores), k, own.ids[q][rows], others[c])
+            own.add(rows[at] + q.start, scores[at, to].astype(np.int64), others[c][to])
+
+
+def _negatives(own: _Anchors, others: np.ndarray, labels: np.ndarray, kinds: np.ndarray, matrix: Matrix, k: int) -> None:
+    shared = len(np.intersect1d(own.kinds, kinds))
+    if shared and len(own.kinds) == len(kinds) == 1:
+        return
+    scores, least = products(own.matrix, matrix), own.least()
+    rows = reached(scores, least.min(axis=1))
+    if not len(rows):
+        return
+    if 2 * len(rows) > len(scores):
+        rows = np.arange(len(scores))
+    else:
+        scores = scores[rows]
+    least, tops = least[rows], own.tops[rows]
+    usable = scores >= bounds(least.min(axis=1), scores)
+    usable &= scores <= bounds(tops[:, 0], scores)
+    if shared:
+        usable &= own.labels[rows][:, None] != labels[None, :]
+    if np.count_nonzero(usable) <= 4 * k * len(scores):
+        inside = [usable]
+    else:
+        inside = (usable & (scores >= bounds(least[:, s], scores)) & (scores <= bounds(tops[:, s], scores)) for s in range(own.width))
+    for wanted in inside:
+        at, to = places(scores, wanted, k, own.ids[rows], others)
+        own.add(rows[at], scores[at, to].astype(np.int64), others[to])
 
 
 def _merged(lists: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` of each anchor and slot, first per group of shards, then of all groups."""
-    order = [F.col("score").desc(), F.col("other")]
-    for keys in (["anchor", "slot", "part"], ["anchor", "slot"]):
-        window = Window.partitionBy(*keys).orderBy(*order)
-        lists = lists.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
-    return lists
+    """The best ``k`` of each anchor and slot."""
+    window = Window.partitionBy("anchor", "slot").orderBy(F.col("score").desc(), "other")
+    return lists.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
 
 
 def hard_negatives(
@@ -185,25 +207,12 @@ def hard_negatives(
         "id is not null and label is not null and vector is not null"
         " and not exists(vector, x -> x is null or isnan(x) or abs(x) = double('Infinity'))"
     )
-    tiles = stored(rows.select("id", "label", "vector").mapInArrow(_pack(scale), _TILES), "tiles")
+    tiles = stored_tiles(rows.select("id", "label", "vector").mapInArrow(_pack(scale), _TILES))
     anchors = rows.where("anchor").groupBy("id").agg(F.min(F.struct("label", "vector")).alias("row"))
     anchors = stored(anchors.select("id", "row.label", "row.vector"), "anchors")
 
-    # Every tile of anchors goes to every shard of candidates; shards are twice as many as a shuffle has partitions.
-    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = ["ids", "labels", "small", "matrix"]
-    candidates = tiles.withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int"))
-    candidates = candidates.withColumnsRenamed({n: f"c_{n}" for n in names})
-
-    def scored(anchor_tiles: DataFrame, run, more: list[str]) -> DataFrame:
-        each = anchor_tiles.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        each = each.withColumnsRenamed({n: f"q_{n}" for n in names + more})
-        pairs = candidates.join(each, ["size", "shard"]).withColumn("part", F.pmod("shard", F.lit(GROUPS)))
-        columns = ["part", "size", *[f"{s}_{n}" for s in "qc" for n in names], *[f"q_{n}" for n in more]]
-        return pairs.select(*columns).mapInArrow(run, "part int, anchor long, slot int, other long, score long")
-
-    plain = stored(anchors.mapInArrow(_pack(scale), _TILES), "anchor-tiles")
-    positive = _merged(scored(plain, _positives(positives), []), positives)
+    width = max(LEAST_WIDTH, positives)
+    positive = _merged(against(anchors, tiles, _pack(scale), _TILES, _walk(_positives, positives), _LISTS, width), positives)
     # The same limits in exact arithmetic: the least and the greatest integer inside low % and high % of the score.
     share = "cast({} * cast(score as decimal(19, 0)) as decimal(38, 0))"
     positive = positive.where("score >= 0").select(
@@ -222,8 +231,8 @@ def hard_negatives(
         "id", "label", "vector", F.concat(F.array("bottom"), "tops").alias("limits")
     )
     kind = f"{_TILES}, limits array<array<long>>"
-    slotted = stored(bounded.mapInArrow(_pack(scale, "limits"), kind), "slotted-tiles")
-    lists = _merged(scored(slotted, _negatives(negatives), ["limits"]), negatives)
+    bounded, width = stored(bounded, "bounded"), max(LEAST_WIDTH, positives * negatives)
+    lists = _merged(against(bounded, tiles, _pack(scale, "limits"), kind, _walk(_negatives, negatives), _LISTS, width), negatives)
 
     # Slots descend and so do the rows of each: one sorted list per anchor, of at most positives * negatives rows.
     ranked = F.struct((-F.col("score")).alias("order"), "other", "score")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import negatives as module
 from strata.llm import oracle as sql
-from strata.llm import queries
+from strata.llm import queries, topk
 from strata.llm.negatives import hard_negatives
 
 CLASHING = ["id", "anchor", "score", "slot", "part", "size", "ids", "vector", "other", "limits"]
@@ -95,6 +95,29 @@ def test_none(spark):
     assert mined(spark, [(0, [1.0], 1), (1, [-1.0], 1), (2, [-0.5], 2)]) == []  # a positive below zero
 
 
+@pytest.mark.parametrize("positives, negatives", [(5, 10), (2, 1)])
+def test_blocks_give_the_same(spark, rows, monkeypatch, positives, negatives):
+    monkeypatch.setattr(topk, "BLOCK", 64 * 9)
+    monkeypatch.setattr(topk, "SHARE", 3)
+    monkeypatch.setattr(module, "TILE", 5)
+    rows = rows + [(k, rows[1][1], k % 3) for k in range(300, 330)] + [(k, [2e5] * 5, k % 2) for k in range(400, 410)]
+    rows += [(500, [1.0] * 4, 2**63 - 1), (501, [1.0] * 4, 2**63 - 1), (502, [0.5] * 4, -(2**63))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").repartition(3)
+    got = hard_negatives(df, F.col("vec_id") % 2 == 0, positives, negatives)
+    assert sorted(tuple(r) for r in got.collect()) == expected(rows, 2, positives, negatives)
+
+
+def test_anchors_are_not_copied_for_every_partition(spark, conf):
+    """A tile of anchors has 128 KB; a copy of it for each of two partitions of a shuffle was over 2 GB here."""
+    x = np.abs(np.random.default_rng(5).normal(size=(1024, 64)))
+    rows = [(k, v, k % 3) for k, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").coalesce(1).cache()
+    want = sorted(hard_negatives(df, F.col("vec_id") >= 0, scale=4096).collect())
+    conf("spark.sql.shuffle.partitions", "8000")
+    assert sorted(hard_negatives(df, F.col("vec_id") >= 0, scale=4096).collect()) == want
+    assert len(want) == 50 * 1024
+
+
 def test_query(spark):
     for sf in (SF, "/root/testdata/sf0.01"):
         assert problems(queries.QUERIES["op11_hard_negatives"](spark, sf), oracle(sf), sql.ORACLE["op11_hard_negatives"]) is None
