@@ -93,6 +93,14 @@ def _walk(tile, k: int):
     def search(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             anchors: dict[int, list[_Anchors]] = {}
+
+            def walk(batch: pa.RecordBatch) -> None:
+                for row, size in enumerate(batch.column("size").to_pylist()):
+                    others, labels = (np.asarray(batch.column(c)[row].values) for c in ("ids", "labels"))
+                    matrix, kinds = Matrix(integers(batch, row, size)), np.unique(labels)
+                    for own in anchors.get(size, ()):
+                        tile(own, others, labels, kinds, matrix, k)
+
             table = shared.value
             for size, rows, ids, values in alike(table):
                 labels = np.concatenate([np.asarray(table.column("labels")[r].values) for r in rows])
@@ -105,11 +113,8 @@ def _walk(tile, k: int):
                     own = [limits[x] for x in part] if limits else None
                     anchors.setdefault(size, []).append(_Anchors(ids[part], labels[part], values[part], own, k))
             for batch in batches:
-                for row, size in enumerate(batch.column("size").to_pylist()):
-                    others, labels = (np.asarray(batch.column(c)[row].values) for c in ("ids", "labels"))
-                    matrix, kinds = Matrix(integers(batch, row, size)), np.unique(labels)
-                    for own in anchors.get(size, ()):
-                        tile(own, others, labels, kinds, matrix, k)
+                walk(batch)
+                del batch  # up to 64 MB, which would else stay while the next is read
             for own in (x for parts in anchors.values() for x in parts):
                 lists, other, score = own.best.rows()
                 anchor, slot = np.divmod(lists, own.width)
